@@ -1,8 +1,7 @@
 """Text to integer, number and date; NULL when the text is not one.
 
-Dates are recognized by shape first and then rewritten to year-month-day, whose
-cast needs no exception per failed attempt. A failed pattern parse raises and
-catches inside the formatter, which costs far more than a regular expression.
+Each expression names its input as few times as it can: Catalyst copies the input
+into every place it is named when it pushes a filter below a projection.
 """
 
 from __future__ import annotations
@@ -13,25 +12,34 @@ from pyspark.sql import functions as F
 NUMBER = r"^(?i)[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)$"
 ZERO_FRACTION = r"[.]0*$"
 
-# First and last day a nanosecond timestamp can hold.
-FIRST_DAY, LAST_DAY = "1677-09-22", "2262-04-11"
+# Days a nanosecond timestamp can hold, 1677-09-22 to 2262-04-11, as
+# year-month-day text. A missing month or day means the first.
+_DAY = r"[0-9]{1,2}"
+_WHOLE_YEAR = r"(?:16(?:7[89]|[89][0-9])|1[7-9][0-9]{2}|2[01][0-9]{2}|22(?:[0-5][0-9]|6[01]))"
+_FIRST_YEAR = rf"1677-(?:0?9-(?:2[2-9]|30)|1[0-2](?:-{_DAY})?)"
+_LAST_YEAR = rf"2262(?:-(?:0?[1-3](?:-{_DAY})?|0?4(?:-(?:0?[1-9]|1[01]))?))?"
+IN_RANGE = rf"^(?:{_WHOLE_YEAR}(?:-[0-9]{{1,2}}(?:-{_DAY})?)?|{_FIRST_YEAR}|{_LAST_YEAR})$"
 
+# The time of day that may follow a date; it is checked and dropped.
 _TIME = (
     r"(?:[T ](?:[01]?[0-9]|2[0-3])(?::[0-5][0-9](?::[0-5][0-9](?:[.][0-9]+)?)?)?"
     r"(?: ?[AaPp][Mm])?(?: ?Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
 )
-YEAR_FIRST = r"^([0-9]{4})([-/.])([0-9]{1,2})\2([0-9]{1,2})" + _TIME
-YEAR_LAST = r"^([0-9]{1,2})[-/]([0-9]{1,2})[-/]([0-9]{4})" + _TIME
-COMPACT = r"^([0-9]{4})([0-9]{2})([0-9]{2})$"
-YEAR_MONTH = r"^[0-9]{4}(?:-[0-9]{1,2})?$"
+# Accepted shapes and their year-month-day form. A month comes before a
+# day when both fit.
+YEAR_FIRST = r"^([0-9]{4})(?:([-/.])([0-9]{1,2})\2([0-9]{1,2})|([0-9]{2})([0-9]{2}))" + _TIME
+YEAR_FIRST_FORM = "$1-$3$5-$4$6"
+_MONTH_NUMBER = r"(0?[1-9]|1[0-2])"
+YEAR_LAST = rf"^(?:{_MONTH_NUMBER}[-/]([0-9]{{1,2}})|([0-9]{{1,2}})[-/]{_MONTH_NUMBER})[-/]([0-9]{{4}})" + _TIME
+YEAR_LAST_FORM = "$5-$1$4-$2$3"
 # English month names, short or whole.
-_MONTH = (
+_MONTH_NAME = (
     r"(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)"
     r"(?:(?<=Jan)uary|(?<=Feb)ruary|(?<=Mar)ch|(?<=Apr)il|(?<=Jun)e|(?<=Jul)y"
     r"|(?<=Aug)ust|(?<=Sep)tember|(?<=Oct)ober|(?<=Nov)ember|(?<=Dec)ember)?"
 )
-MONTH_DAY_YEAR = r"^(?i)" + _MONTH + r"[.]? ([0-9]{1,2}),? ([0-9]{4})$"
-DAY_MONTH_YEAR = r"^(?i)([0-9]{1,2}) " + _MONTH + r"[.]?,? ([0-9]{4})$"
+NAMED = rf"^(?i)(?:{_MONTH_NAME}[.]? ([0-9]{{1,2}})|([0-9]{{1,2}}) {_MONTH_NAME}[.]?),? ({_WHOLE_YEAR})$"
+NAMED_FORM, NAMED_PATTERN = "$5 $1$4 $2$3", "yyyy MMM d"
 
 
 def parse_int(value: Column, lenient: bool = False) -> Column:
@@ -41,35 +49,27 @@ def parse_int(value: Column, lenient: bool = False) -> Column:
     return value.try_cast("int")
 
 
-def parse_number(text: Column) -> Column:
-    """Double from text; ``nan`` gives NULL. Use :func:`is_number` to tell bad text."""
-    number = F.when(text.cast("string").rlike(NUMBER), text.cast("string").try_cast("double"))
-    return F.when(~F.isnan(number), number)
-
-
 def is_number(text: Column) -> Column:
-    return text.cast("string").rlike(NUMBER)
+    """True for a text that :func:`parse_number` takes, ``nan`` included."""
+    return text.rlike(NUMBER)
 
 
-def _named_month(day: str, month: str, year: str, text: Column, pattern: str) -> Column:
-    return F.try_to_date(F.regexp_replace(text, pattern, f"${year} ${month} ${day}"), "yyyy MMM d")
+def parse_number(text: Column) -> Column:
+    """Double from text; ``nan`` gives NULL."""
+    number = F.regexp_extract(text, NUMBER, 0).try_cast("double")
+    return F.nanvl(number, F.lit(None).cast("double"))
 
 
 def parse_date(value: Column) -> Column:
-    """Date from the accepted shapes; months come before days when both fit."""
+    """Date from the accepted shapes.
+
+    Plain year-month-day text takes a cast alone. Other shapes are rewritten to it;
+    a cast tells a bad day without the exception a pattern parse would raise and
+    catch. Only month names go through a pattern.
+    """
     text = value.cast("string")
-    day = (
-        F.when(text.rlike(YEAR_FIRST), F.regexp_replace(text, YEAR_FIRST, "$1-$3-$4").try_cast("date"))
-        .when(
-            text.rlike(YEAR_LAST),
-            F.coalesce(
-                F.regexp_replace(text, YEAR_LAST, "$3-$1-$2").try_cast("date"),
-                F.regexp_replace(text, YEAR_LAST, "$3-$2-$1").try_cast("date"),
-            ),
-        )
-        .when(text.rlike(COMPACT), F.regexp_replace(text, COMPACT, "$1-$2-$3").try_cast("date"))
-        .when(text.rlike(YEAR_MONTH), text.try_cast("date"))
-        .when(text.rlike(MONTH_DAY_YEAR), _named_month("2", "1", "3", text, MONTH_DAY_YEAR))
-        .when(text.rlike(DAY_MONTH_YEAR), _named_month("1", "2", "3", text, DAY_MONTH_YEAR))
+    rewritten = F.regexp_replace(F.regexp_replace(text, YEAR_FIRST, YEAR_FIRST_FORM), YEAR_LAST, YEAR_LAST_FORM)
+    named = F.try_to_date(F.regexp_replace(text, NAMED, NAMED_FORM), NAMED_PATTERN)
+    return F.when(text.rlike(IN_RANGE), text.try_cast("date")).otherwise(
+        F.coalesce(F.regexp_extract(rewritten, IN_RANGE, 0).try_cast("date"), F.when(text.rlike(NAMED), named))
     )
-    return F.when(day.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")), day)

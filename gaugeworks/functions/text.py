@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -35,21 +36,20 @@ NULL_TOKENS = [
 BLANKS = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 
-def strip_text(text: Column) -> Column:
-    """Strip all Unicode white space from both ends.
+def clean_text(text: Column, tokens: Iterable[str] = ()) -> Column:
+    """Text without Unicode white space at both ends; NULL when nothing is left or
+    when the text, before it is stripped, is one of ``tokens``.
 
-    A text that begins and ends with a printable ASCII character has nothing to
-    strip. Two cheap comparisons find those, so that the costly character-set trim
-    runs on the few others only.
+    Nearly all texts begin and end with a printable ASCII character and skip the
+    costly character-set trim. The expression is kept short on purpose: a dozen
+    cleaned columns and their rules have to fit in one generated method that the JVM
+    still compiles.
     """
-    last = F.substring(text, -1, 1)
-    plain = (text >= "!") & (text < "\x7f") & (last >= "!") & (last < "\x7f")
-    return F.when(plain, text).otherwise(F.btrim(text, F.lit(BLANKS)))
-
-
-def clean_text(text: Column) -> Column:
-    """Stripped text, NULL when nothing is left."""
-    return F.nullif(strip_text(text), F.lit(""))
+    missing = "|".join(re.escape(token) for token in tokens)
+    start = rf"^(?!(?:{missing})\z)" if missing else "^"
+    plain = rf"{start}[!-~](?s:.*[!-~])?\z"
+    some = rf"{start}(?s:.*)[^{BLANKS}]"
+    return F.when(text.rlike(plain), text).when(text.rlike(some), F.btrim(text, F.lit(BLANKS)))
 
 
 def null_tokens(text: Column, tokens: Iterable[str] = NULL_TOKENS) -> Column:
@@ -57,17 +57,17 @@ def null_tokens(text: Column, tokens: Iterable[str] = NULL_TOKENS) -> Column:
     return F.when(~text.isin(*tokens), text)
 
 
-def clean_value(df: DataFrame, name: str) -> Column:
-    """One column cleaned by its type: text is stripped, NaN becomes NULL."""
+def clean_value(df: DataFrame, name: str, tokens: Iterable[str] = ()) -> Column:
+    """One column cleaned by its type: text as in :func:`clean_text`, NaN to NULL."""
     kind, value = df.schema[name].dataType, F.col(f"`{name}`")
     if isinstance(kind, T.StringType):
-        return clean_text(value).alias(name)
+        return clean_text(value, tokens).alias(name)
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(value), value).alias(name)
+        return F.nanvl(value, F.lit(None).cast(kind)).alias(name)
     return value
 
 
-def clean_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def clean_columns(df: DataFrame, columns: list[str] | None = None, tokens: Iterable[str] = ()) -> DataFrame:
     """Clean the named columns (default: all) in one projection."""
-    chosen = set(df.columns if columns is None else columns)
-    return df.select(*[clean_value(df, c) if c in chosen else F.col(f"`{c}`") for c in df.columns])
+    chosen, tokens = set(df.columns if columns is None else columns), list(tokens)
+    return df.select(*[clean_value(df, c, tokens) if c in chosen else F.col(f"`{c}`") for c in df.columns])

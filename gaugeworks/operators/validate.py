@@ -6,6 +6,8 @@ on the same tagged frame.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,11 +53,15 @@ def _broken_rules(df: DataFrame, rules: RuleSet) -> list[Column]:
     return broken
 
 
-def tag_records(df: DataFrame, rules: RuleSet | None = None) -> DataFrame:
+def tag_records(df: DataFrame, rules: RuleSet | None = None, tokens: Iterable[str] = ()) -> DataFrame:
     """Cleaned columns plus ``error_reason``: the first broken rule in the order
-    malformed, required, integer, numeric, date."""
+    malformed, required, integer, numeric, date.
+
+    With several consumers, write the tagged rows first, as a load does: a filter on
+    the reason is pushed down and would compute it once more.
+    """
     rules = rules or RuleSet()
-    cleaned = clean_columns(df, [c for c in df.columns if c not in (MALFORMED, *LINEAGE)])
+    cleaned = clean_columns(df, [c for c in df.columns if c not in (MALFORMED, *LINEAGE)], tokens)
     reason = F.coalesce(*_broken_rules(cleaned, rules), F.lit(None).cast("string"))
     return cleaned.withColumn(REASON, reason).drop(MALFORMED)
 

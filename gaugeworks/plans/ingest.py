@@ -18,7 +18,7 @@ from gaugeworks.operators.rejects import metric_columns, reject_rows, reject_sam
 from gaugeworks.operators.runs import FAILED, STARTED, SUCCESS
 from gaugeworks.operators.validate import REASON, rejected_rows, tag_records, valid_rows
 from gaugeworks.schemas import FILE_ORDER
-from gaugeworks.sources.files import read_source
+from gaugeworks.sources.files import scan_source
 from gaugeworks.sources.spec import SourceSpec
 from gaugeworks.sources.tables import append_run_event, check_run_id, read_table, write_run_rows
 
@@ -55,7 +55,7 @@ def _stage(raw: DataFrame, spec: SourceSpec, path: str) -> tuple[DataFrame, dict
     key = parse_int(F.col(FACT_KEY), spec.rules.lenient_int)
     key = F.when(F.col(REASON).isNull(), key)
     seen = Observation()
-    tagged = tag_records(raw, spec.rules).observe(
+    tagged = tag_records(raw, spec.rules, spec.null_tokens).observe(
         seen, *metric_columns(), F.min(key).alias("least_key"), F.max(key).alias("greatest_key")
     )
     tagged.write.mode("overwrite").parquet(path)
@@ -105,7 +105,7 @@ def run_ingest(
     Rows become visible with the SUCCESS event, which is written last; a failed load
     leaves a FAILED event and no visible row, and the error is raised again. A retry
     under the same run id replaces what the earlier attempt wrote. ``source`` gives
-    the rows directly, in the form :func:`read_source` returns. One load at a time may
+    the rows directly, in the form :func:`scan_source` returns. One load at a time may
     write to a warehouse.
     """
     run_id = check_run_id(run_id or uuid.uuid4().hex)
@@ -113,7 +113,7 @@ def run_ingest(
     append_run_event(spark, warehouse, run_id=run_id, source_file=source_file, status=STARTED)
     totals = {"total_records": 0, "valid_records": 0, "rejected_records": 0}
     try:
-        raw = read_source(spark, spec) if source is None else source
+        raw = scan_source(spark, spec) if source is None else source
         if force_reject:
             raw = inject_bad_row(raw, FILE_ORDER)
         staged, counts = _stage(raw, spec, f"{warehouse}/_staging/{spec.name}")

@@ -132,6 +132,15 @@ def inject_bad_row(spark: SparkSession, folder: str) -> DataFrame:
 # --- cleaning and validation --------------------------------------------------------
 
 
+def _date_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return settle(data.date_texts(spark, folder), "date-texts")
+
+
+def _tagged(spark: SparkSession, folder: str) -> DataFrame:
+    """Tagged wide rows, staged as a load does before it splits them."""
+    return settle(tag_records(data.wide_rows(spark, folder)), "tagged")
+
+
 @query
 def null_tokens_(spark: SparkSession, folder: str) -> DataFrame:
     tokens = ["NA", "n/a", "NULL", "  NA ", "nan", "#N/A", "-1.#IND", "<NA>", "none", "None", "NaT"]
@@ -160,14 +169,14 @@ def clean_values(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def parse_dates(spark: SparkSession, folder: str) -> DataFrame:
-    return data.date_texts(spark, folder).select(
+    return _date_texts(spark, folder).select(
         "o_orderkey", "date_text", parse_date(F.col("date_text")).cast("string").alias("start_date")
     )
 
 
 @query
 def coerce_dropna(spark: SparkSession, folder: str) -> DataFrame:
-    rows = data.date_texts(spark, folder).select(
+    rows = _date_texts(spark, folder).select(
         "o_orderkey",
         F.col("date_text").alias("start_date"),
         F.when(F.col("o_orderkey") % 7 == 0, F.lit("12.5f")).otherwise(F.col("o_totalprice").cast("string")).alias(VALUE),
@@ -178,7 +187,7 @@ def coerce_dropna(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def validate_split(spark: SparkSession, folder: str) -> DataFrame:
-    tagged = tag_records(data.wide_rows(spark, folder).drop(data.ORIGIN))
+    tagged = _tagged(spark, folder)
     columns = ["_key", "_copy", "unique_id", "indicator_id", "geo_join_id", "start_date", "data_value"]
     names = {"_key": "order_key", "_copy": "copy_number"}
     valid = valid_rows(tagged).select(
@@ -197,12 +206,12 @@ def reject_reason(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def reject_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return rejects.reject_summary(rejected_rows(tag_records(data.wide_rows(spark, folder))), data.WIDE_ORDER)
+    return rejects.reject_summary(rejected_rows(_tagged(spark, folder)), data.WIDE_ORDER)
 
 
 @query
 def reject_samples(spark: SparkSession, folder: str) -> DataFrame:
-    return rejects.reject_samples(rejected_rows(tag_records(data.wide_rows(spark, folder))), data.WIDE_ORDER)
+    return rejects.reject_samples(rejected_rows(_tagged(spark, folder)), data.WIDE_ORDER)
 
 
 @query
@@ -212,10 +221,8 @@ def run_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def reject_rows(spark: SparkSession, folder: str) -> DataFrame:
-    rejected = rejected_rows(tag_records(data.wide_rows(spark, folder)))
-    rows = rejects.reject_rows(
-        rejected.drop(data.ORIGIN), "run-1", data.WIDE_ORDER, F.lit("orders.parquet")
-    )
+    rejected = rejected_rows(_tagged(spark, folder))
+    rows = rejects.reject_rows(rejected.drop(data.ORIGIN), "run-1", data.WIDE_ORDER, F.lit("orders.parquet"))
     fields = ["unique_id", "indicator_id", "name", "geo_place_name", "start_date", "message"]
     return rows.select(
         "run_id",
@@ -270,7 +277,7 @@ def count_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def extract_dimension(spark: SparkSession, folder: str) -> DataFrame:
-    valid = valid_rows(tag_records(data.wide_rows(spark, folder)))
+    valid = valid_rows(_tagged(spark, folder))
     return load.extract_dimension(valid, load.INDICATOR_MAP, "indicator_id", data.WIDE_ORDER)
 
 

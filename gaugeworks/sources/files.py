@@ -94,16 +94,20 @@ def read_json(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     return normalize_headers(with_file_order(scan))
 
 
-def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """Scan, normalize headers, recognize missing-value tokens, map columns."""
+def scan_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+    """Scan, normalize headers, map columns; texts are as they are in the file."""
     raw = read_csv(spark, spec) if spec.format == "csv" else read_json(spark, spec)
     mapping = {normalize_name(source): target for source, target in spec.mapping.items()}
-    mapped = map_columns(raw, mapping, keep=[MALFORMED, *LINEAGE])
+    return map_columns(raw, mapping, keep=[MALFORMED, *LINEAGE])
+
+
+def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+    """The scanned source with its missing-value tokens as NULL."""
+    rows = scan_source(spark, spec)
     if not spec.null_tokens:
-        return mapped
-    return mapped.select(
-        *[null_tokens(F.col(c), spec.null_tokens).alias(c) for c in mapping.values()], MALFORMED, *LINEAGE
-    )
+        return rows
+    named = [null_tokens(F.col(c), spec.null_tokens).alias(c) for c in spec.mapping.values()]
+    return rows.select(*named, MALFORMED, *LINEAGE)
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:

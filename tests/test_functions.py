@@ -1,0 +1,117 @@
+"""Value tables for cleaning and parsing, row by row."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeworks.functions.calendar import add_season, season_index, split_date
+from gaugeworks.functions.parse import is_number, parse_date, parse_int, parse_number
+from gaugeworks.functions.text import NULL_TOKENS, clean_columns, clean_text, null_tokens
+
+
+def apply(spark, function, values, kind="string"):
+    rows = spark.createDataFrame(list(enumerate(values)), f"i int, v {kind}")
+    got = rows.select("i", function(F.col("v")).alias("r")).orderBy("i").collect()
+    return [row.r for row in got]
+
+
+def test_strip(spark):
+    texts = ["\t a  ", "", "   ", "a b", " a\n", "　x　", "\x1f\x1c", "é", " é ", "a\x85", "a\nb", "  NA ", None, "!"]
+    want = [t.strip() or None if t is not None else None for t in texts]
+    assert apply(spark, clean_text, texts) == want
+
+
+def test_strip_every_blank(spark):
+    blanks = [chr(c) for c in range(0x3100) if chr(c).isspace()]
+    texts = [f"{b}x{b}" for b in blanks] + [f"x{b}y" for b in blanks]
+    assert apply(spark, clean_text, texts) == [t.strip() for t in texts]
+
+
+def test_null_tokens(spark):
+    texts = [*NULL_TOKENS, "  NA ", "none", "NaT", "NA\n", "null?", "N/A/"]
+    want = [None] * len(NULL_TOKENS) + texts[len(NULL_TOKENS):]
+    assert apply(spark, null_tokens, texts) == want
+    stripped = [t if t is None else t.strip() for t in want]
+    assert apply(spark, lambda c: clean_text(c, NULL_TOKENS), texts) == stripped
+    two_steps = apply(spark, lambda c: clean_text(null_tokens(c)), texts)
+    assert two_steps == stripped
+
+
+def test_nan_becomes_null(spark):
+    rows = spark.createDataFrame([(float("nan"), 1), (1.5, 2), (None, 3)], "v double, i int")
+    assert [r.v for r in clean_columns(rows).orderBy("i").collect()] == [None, 1.5, None]
+
+
+INTEGERS = {
+    "12": 12, "+5": 5, "-7": -7, "0": 0, "12.0": None, "12.7": None, "1e3": None, "1_000": None, "٣": None,
+    "99999999999999999999": None, "2147483647": 2147483647, "2147483648": None, "x": None, "": None,
+}
+
+
+def test_integers(spark):
+    assert apply(spark, parse_int, list(INTEGERS)) == list(INTEGERS.values())
+    lenient = apply(spark, lambda c: parse_int(c, lenient=True), ["12.0", "12.", "12.7", "5"])
+    assert lenient == [12, 12, None, 5]
+    doubles = [12.7, -12.7, math.inf, None]
+    assert apply(spark, parse_int, doubles, "double") == [12, -12, None, None]
+
+
+NUMBERS = {
+    "12.5": 12.5, "1e3": 1000.0, "3": 3.0, "inf": math.inf, "-Infinity": -math.inf, ".5": 0.5, "5.": 5.0, "+1": 1.0,
+    "1,000": None, "0x10": None, "$4": None, "12.5f": None, "12.5d": None, "abc": None, "1_0.5": None, "": None,
+    "nan": None,
+}
+
+
+def test_numbers(spark):
+    assert apply(spark, parse_number, list(NUMBERS)) == list(NUMBERS.values())
+    good = apply(spark, is_number, list(NUMBERS))
+    assert good == [v is not None or k == "nan" for k, v in NUMBERS.items()]
+
+
+DATES = {
+    "2020-01-01": "2020-01-01", "2020/01/02": "2020-01-02", "20200101": "2020-01-01", "Jan 5, 2020": "2020-01-05",
+    "January 5, 2020": "2020-01-05", "5 Jan 2020": "2020-01-05", "jan 5 2020": "2020-01-05", "2020-1-5": "2020-01-05",
+    "2020.01.05": "2020-01-05", "12/01/2008": "2008-12-01", "01-02-2020": "2020-01-02", "1/2/2020": "2020-01-02",
+    "13/01/2008": "2008-01-13", "13-01-2008": "2008-01-13", "2020-01-01T23:30:00Z": "2020-01-01",
+    "2020-01-01 10:00": "2020-01-01", "2020-01-01T10:00:00.123+05:00": "2020-01-01",
+    "12/01/2008 12:00:00 AM": "2008-12-01", "2020": "2020-01-01", "2020-01": "2020-01-01",
+    "1677-09-22": "1677-09-22", "1677-09-21": None, "1677-12-01": "1677-12-01", "1677": None, "1678": "1678-01-01",
+    "2262-04-11": "2262-04-11", "2262-04-12": None, "2262": "2262-01-01", "2263-01-01": None, "09/21/1677": None,
+    "2020-02-30": None, "02/30/2020": None, "31/04/2020": None, "2020-13-01": None, "2008/13/01": None,
+    "bad-date": None, "10": None, "Winter 2014-15": None, "Feb 30, 2020": None, "Foo 5, 2020": None,
+    "1600-01-01": None, "99999": None, "today": None, "2023-Q1": None, "NaT": None, "2020-01-01T25:00": None,
+    "2020-01/01": None, "20201301": None, "": None,
+}
+
+
+def test_dates(spark):
+    got = apply(spark, lambda c: parse_date(c).cast("string"), list(DATES))
+    assert dict(zip(DATES, got, strict=True)) == DATES
+
+
+def test_date_of_integer(spark):
+    assert apply(spark, lambda c: parse_date(c).cast("string"), [20200101], "int") == ["2020-01-01"]
+
+
+def test_dates_match_pandas(spark):
+    pd = pytest.importorskip("pandas")
+    import warnings
+
+    texts = [text for text, day in DATES.items() if day is not None]
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        want = [str(pd.to_datetime(text).date()) for text in texts]
+    assert want == [DATES[text] for text in texts]
+
+
+def test_seasons(spark):
+    want = [1, 1, 4, 4, 4, 2, 2, 2, 3, 3, 3, 1, None]
+    assert apply(spark, season_index, [*range(1, 13), None], "int") == want
+
+
+def test_date_parts(spark):
+    rows = spark.sql("SELECT date'2009-06-30' AS start_date")
+    assert split_date(rows).first()[1:] == (2009, 6, 30)
+    assert add_season(rows).first()[1:] == (6, 2)
