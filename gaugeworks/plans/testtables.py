@@ -7,7 +7,7 @@ a rule on the order key; every order stays in.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.schemas import SOURCE_COLUMNS
@@ -17,8 +17,22 @@ WIDE_ORDER = ["_key", "_copy"]
 ORIGIN = "_origin"
 
 
+# Schemas of the test tables, so that no read has to look them up first.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def fact(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,10 +65,6 @@ def places(spark: SparkSession, folder: str) -> DataFrame:
     return fact(spark, folder).join(names, "geo_join_id")
 
 
-def _every(n: int) -> Column:
-    return F.col("_key") % n == 0
-
-
 def wide_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Wide text rows, spoiled by rule, some repeated with another value."""
     orders, customer = table(spark, folder, "orders"), table(spark, folder, "customer")
@@ -62,59 +72,53 @@ def wide_rows(spark: SparkSession, folder: str) -> DataFrame:
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
         geographic(spark, folder), F.col("c_nationkey") == F.col("geo_join_id")
     )
-    text = joined.select(
-        F.col("o_orderkey").alias("_key"),
+    spoiled = joined.selectExpr(
+        "o_orderkey AS _key",
         ORIGIN,
-        F.col("o_orderkey").cast("string").alias("unique_id"),
-        F.substring("o_orderpriority", 1, 1).alias("indicator_id"),
-        F.col("o_orderpriority").alias("name"),
-        F.col("o_orderstatus").alias("measure"),
-        F.col("c_mktsegment").alias("measure_info"),
+        "string(o_orderkey) AS unique_id",
+        "CASE WHEN o_orderkey % 29 = 0 THEN '12.0' ELSE substring(o_orderpriority, 1, 1) END AS indicator_id",
+        "CASE WHEN o_orderkey % 22 = 0 THEN '   ' WHEN o_orderkey % 11 <> 0 THEN o_orderpriority END AS name",
+        "o_orderstatus AS measure",
+        "c_mktsegment AS measure_info",
         "geo_type_name",
-        F.col("geo_join_id").cast("string").alias("geo_join_id"),
+        "string(geo_join_id) AS geo_join_id",
         "geo_place_name",
-        F.date_format("o_orderdate", "yyyy-MM").alias("time_period"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("start_date"),
-        F.col("o_totalprice").cast("string").alias("data_value"),
-        F.when(F.col("o_orderstatus") == "P", F.lit("pending")).alias("message"),
-    )
-    spoiled = text.withColumns(
-        {
-            "name": F.when(_every(22), F.lit("   ")).when(~_every(11), F.col("name")),
-            "data_value": F.when(_every(13), F.lit("abc")).when(_every(31), F.lit(" ")).otherwise(F.col("data_value")),
-            "start_date": F.when(_every(17), F.lit("2020-02-30")).otherwise(F.col("start_date")),
-            "indicator_id": F.when(_every(29), F.lit("12.0")).otherwise(F.col("indicator_id")),
-        }
+        "date_format(o_orderdate, 'yyyy-MM') AS time_period",
+        "CASE WHEN o_orderkey % 17 = 0 THEN '2020-02-30' ELSE date_format(o_orderdate, 'yyyy-MM-dd') END AS start_date",
+        "CASE WHEN o_orderkey % 13 = 0 THEN 'abc' WHEN o_orderkey % 31 = 0 THEN ' ' ELSE string(o_totalprice) END"
+        " AS data_value",
+        "CASE WHEN o_orderstatus = 'P' THEN 'pending' END AS message",
     )
-    padded = {
-        c: F.when(_every(19), F.concat(F.lit("\t "), F.col(c), F.lit("\u00a0 "))).otherwise(F.col(c))
-        for c in SOURCE_COLUMNS
-    }
-    rows = spoiled.withColumns(padded).withColumn("_copy", F.lit(0))
-    copies = rows.filter(_every(23)).withColumns({"_copy": F.lit(1), "data_value": F.lit("0")})
+    # A tab and a space before, a no-break space and a space after.
+    padded = [
+        f"CASE WHEN _key % 19 = 0 THEN concat('\t ', {c}, '\u00a0 ') ELSE {c} END AS {c}" for c in SOURCE_COLUMNS
+    ]
+    rows = spoiled.selectExpr("_key", ORIGIN, *padded, "0 AS _copy")
+    unchanged = [c for c in SOURCE_COLUMNS if c != "data_value"]
+    copies = rows.filter("_key % 23 = 0").selectExpr("_key", ORIGIN, *unchanged, "'0' AS data_value", "1 AS _copy")
     return rows.unionByName(copies)
 
 
 def date_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Every order date as a text whose form depends on the order key."""
-    day = F.col("o_orderdate")
-    forms = [
-        F.date_format(day, "yyyy-MM-dd"),
-        F.date_format(day, "yyyy/M/d"),
-        F.date_format(day, "M/d/yyyy"),
-        F.date_format(day, "yyyyMMdd"),
-        F.date_format(day, "MMM d, yyyy"),
-        F.date_format(day, "yyyy-MM-dd'T'23:30:00'Z'"),
-        F.date_format(day, "yyyy-MM"),
-        F.date_format(day, "yyyy"),
-        F.lit("2020-02-30"),
-        F.date_format(day, "'Winter' yyyy"),
-        F.date_format(day, "d/M/yyyy"),
-        F.date_format(day, "MM/dd/yyyy '12:00:00 AM'"),
+    patterns = [
+        "yyyy-MM-dd",
+        "yyyy/M/d",
+        "M/d/yyyy",
+        "yyyyMMdd",
+        "MMM d, yyyy",
+        "yyyy-MM-dd'T'23:30:00'Z'",
+        "yyyy-MM",
+        "yyyy",
+        "'2020-02-30'",
+        "'Winter' yyyy",
+        "d/M/yyyy",
+        "MM/dd/yyyy '12:00:00 AM'",
     ]
     chosen = F.lit(None).cast("string")
-    for i, form in enumerate(forms):
-        chosen = F.when(F.col("o_orderkey") % len(forms) == i, form).otherwise(chosen)
+    for i, pattern in enumerate(patterns):
+        form = F.date_format("o_orderdate", pattern)
+        chosen = F.when(F.col("o_orderkey") % len(patterns) == i, form).otherwise(chosen)
     return table(spark, folder, "orders").select("o_orderkey", "o_totalprice", chosen.alias("date_text"))
 
 

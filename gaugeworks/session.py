@@ -24,6 +24,8 @@ def build_session(app_name: str = "gaugeworks", master: str | None = None, **con
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Recording the Python call site of every column costs more than small queries.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
