@@ -18,6 +18,7 @@ from gaugeworks.operators.rejects import metric_columns, reject_rows, reject_sam
 from gaugeworks.operators.runs import FAILED, STARTED, SUCCESS
 from gaugeworks.operators.validate import REASON, rejected_rows, tag_records, valid_rows
 from gaugeworks.schemas import FILE_ORDER
+from gaugeworks.session import shuffle_width
 from gaugeworks.sources.files import scan_source
 from gaugeworks.sources.spec import SourceSpec
 from gaugeworks.sources.tables import append_run_event, check_run_id, read_table, write_run_rows
@@ -120,7 +121,8 @@ def run_ingest(
         totals = {name: counts[name] for name in totals}
         if totals["rejected_records"]:
             log_reject_summary(rejected_rows(staged))
-        inserted = _load(staged, counts, spec, warehouse, run_id)
+        with shuffle_width(spark, totals["total_records"]):
+            inserted = _load(staged, counts, spec, warehouse, run_id)
     except Exception as error:
         append_run_event(
             spark,

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROWS_PER_PARTITION = 4_000_000
+MOST_PARTITIONS = 50_000
+
 _local_scratch: str | None = None
 
 
@@ -69,3 +74,20 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def shuffle_width(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Plan shuffles of ``rows`` rows wide enough for a partition to fit in memory.
+
+    The session's setting is only ever raised, and put back at the end; adaptive
+    execution merges partitions that turn out small.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    wanted = min(rows // ROWS_PER_PARTITION + 1, MOST_PARTITIONS)
+    spark.conf.set(key, str(max(int(before), wanted)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -30,21 +30,25 @@ def normalize_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def with_file_order(df: DataFrame) -> DataFrame:
-    """Add the lineage columns; call right on the scan, before any shuffle.
-
-    Within one file block the row number grows; the file path and the block offset
-    order the rest, whatever order the blocks are scheduled in.
-    """
+def with_file_place(df: DataFrame) -> DataFrame:
+    """Add the file and block of each scanned row."""
     return df.select(
         "*",
         F.col("_metadata.file_path").alias(FILE),
         F.col("_metadata.file_block_start").alias(BLOCK),
-        F.monotonically_increasing_id().alias(ROW),
         F.col("_metadata.file_name").alias(FILE_NAME),
     )
 
 
+def with_file_order(df: DataFrame) -> DataFrame:
+    """Add the lineage columns; call right on the scan, before any shuffle.
+
+    Within one file block the row number grows; the file path and the block offset
+    order the rest, whatever order the blocks are scheduled in.
+    """
+    return with_file_place(df).withColumn(ROW, F.monotonically_increasing_id())
+
+
 def _text_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
@@ -60,45 +64,58 @@ def _csv_options(spec: SourceSpec) -> dict[str, object]:
     }
 
 
-def read_csv(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """All-text scan. A row with too many fields has its first surplus field in
-    ``_extra``; a short row is filled with NULL.
+def _csv_reader(reader, spec: SourceSpec, names: list[str]):
+    """``_pad`` is declared and never read: with one column pruned, the parser selects
+    fields by position and every row has the expected width. Without it each ordinary
+    row would count as malformed and raise inside the parser."""
+    return reader.options(**_csv_options(spec)).schema(_text_schema([*names, MALFORMED, _PAD]))
 
-    ``_pad`` is declared and never read: with one column pruned, the parser selects
-    fields by position and every row has the expected width. Without it each
-    ordinary row would count as malformed and raise inside the parser.
-    """
-    reader = spark.read.options(**_csv_options(spec))
-    if spec.has_header:
-        names = reader.csv(spec.path).columns
-        if not names:
-            raise ValueError(f"no columns to read in {spec.path}")
-    else:
-        names = list(spec.mapping)
-    scan = reader.schema(_text_schema([*names, MALFORMED, _PAD])).csv(spec.path)
-    rows = with_file_order(scan.drop(_PAD))
-    return normalize_headers(rows)
-
-
-def read_json(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """JSON lines, or a JSON array per file with ``multiline``, all values as text.
-
-    With a mapping the schema is declared from it, so there is no inference pass
-    over the data. Field names are matched as they are in the file. A record that is
-    not JSON has its text in ``_extra``.
-    """
-    reader = spark.read.options(
-        multiLine=spec.multiline, encoding=spec.encoding, columnNameOfCorruptRecord=MALFORMED
-    )
-    scan = reader.schema(_text_schema([*spec.mapping, MALFORMED])).json(spec.path)
-    return normalize_headers(with_file_order(scan))
 
+def _json_reader(reader, spec: SourceSpec):
+    """With the schema declared from the mapping there is no inference pass. Field
+    names are matched as they are in the file; a record that is not JSON has its text
+    in ``_extra``."""
+    options = {"multiLine": spec.multiline, "encoding": spec.encoding, "columnNameOfCorruptRecord": MALFORMED}
+    return reader.options(**options).schema(_text_schema([*spec.mapping, MALFORMED]))
 
-def scan_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """Scan, normalize headers, map columns; texts are as they are in the file."""
-    raw = read_csv(spark, spec) if spec.format == "csv" else read_json(spark, spec)
+
+def csv_columns(spark: SparkSession, spec: SourceSpec) -> list[str]:
+    """Column names from the header line, or from the mapping when there is none."""
+    if not spec.has_header:
+        return list(spec.mapping)
+    names = spark.read.options(**_csv_options(spec)).csv(spec.path).columns
+    if not names:
+        raise ValueError(f"no columns to read in {spec.path}")
+    return names
+
+
+def _scan(spark: SparkSession, reader, spec: SourceSpec) -> DataFrame:
+    if spec.format == "csv":
+        return _csv_reader(reader, spec, csv_columns(spark, spec)).csv(spec.path).drop(_PAD)
+    return _json_reader(reader, spec).json(spec.path)
+
+
+def _named(rows: DataFrame, spec: SourceSpec, lineage: list[str]) -> DataFrame:
     mapping = {normalize_name(source): target for source, target in spec.mapping.items()}
-    return map_columns(raw, mapping, keep=[MALFORMED, *LINEAGE])
+    return map_columns(normalize_headers(rows), mapping, keep=[MALFORMED, *lineage])
+
+
+def scan_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+    """Scan, normalize headers, map columns; every value is text as in the file.
+
+    A row with too many fields has its first surplus field in ``_extra``; a short row
+    is filled with NULL.
+    """
+    return _named(with_file_order(_scan(spark, spark.read, spec)), spec, LINEAGE)
+
+
+def stream_source(spark: SparkSession, spec: SourceSpec, files_per_batch: int | None = None) -> DataFrame:
+    """The same rows as a stream of newly arrived files, without the row number."""
+    reader = spark.readStream
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    place = [name for name in LINEAGE if name != ROW]
+    return _named(with_file_place(_scan(spark, reader, spec)), spec, place)
 
 
 def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:

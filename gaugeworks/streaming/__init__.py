@@ -1,0 +1 @@
+"""The load, triggered by files as they arrive."""
