@@ -5,9 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeworks.operators.audit import fk_orphans, not_null_violations, pk_violations
 from gaugeworks.plans.ingest import run_ingest
-from gaugeworks.schemas import FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS
+from gaugeworks.plans.integrity import check_warehouse
 from gaugeworks.sources.spec import RuleSet, SourceSpec
 from gaugeworks.sources.tables import read_run_events, read_table
 
@@ -70,12 +69,8 @@ def test_load_reload_and_audit(spark, files, tmp_path):
     assert payload["data_value"] == "abc" and payload["message"] is None
     assert "error_reason" not in payload and not any(k.startswith("_") for k in payload)
 
-    for table, key in PRIMARY_KEYS.items():
-        assert pk_violations(read_table(spark, home, table), key).count() == 0
-    for child, fk, parent, key in FOREIGN_KEYS:
-        assert fk_orphans(read_table(spark, home, child), fk, read_table(spark, home, parent), key).count() == 0
-    for table, columns in NOT_NULL.items():
-        assert not_null_violations(read_table(spark, home, table), columns).filter("null_count > 0").count() == 0
+    checks = check_warehouse(spark, home).collect()
+    assert len(checks) == 12 and {c.violations for c in checks} == {0}
 
     again = run_ingest(spark, SourceSpec(path=files), home, "r2")
     assert (again.inserted_records, again.skipped_records) == (0, 5)
@@ -168,3 +163,30 @@ def test_custom_mapping_and_rules(spark, tmp_path):
     assert run_ingest(spark, strict, str(tmp_path / "h2")).valid_records == 1
     dims = read_table(spark, str(tmp_path / "home"), "indicators").filter(F.col("indicator_id") == 7)
     assert dims.first().name == "a"
+
+
+def test_header_only_file(spark, tmp_path):
+    (tmp_path / "x.csv").write_text(HEADER)
+    report = run_ingest(spark, SourceSpec(path=str(tmp_path / "x.csv")), str(tmp_path / "home"), "empty")
+    assert (report.status, report.total_records, report.inserted_records) == ("SUCCESS", 0, 0)
+    assert read_table(spark, str(tmp_path / "home"), "measurements").count() == 0
+
+
+def test_run_id_must_be_a_plain_name(spark, files, tmp_path):
+    with pytest.raises(ValueError, match="run id"):
+        run_ingest(spark, SourceSpec(path=files), str(tmp_path / "home"), "a/b")
+
+
+def test_skewed_copies(spark, tmp_path):
+    """A third of all rows are copies of one key; a third of them share one place."""
+    row = "{},1,n,m,i,t,{},p{},w,2020-01-01,{},\n"
+    lines = [row.format(7 if i % 3 == 0 else i + 10, 5 if i % 3 == 1 else i % 9, i, i) for i in range(9000)]
+    (tmp_path / "in").mkdir()
+    for part in range(3):
+        (tmp_path / "in" / f"{part}.csv").write_text(HEADER + "".join(lines[part * 3000 : (part + 1) * 3000]))
+    report = run_ingest(spark, SourceSpec(path=str(tmp_path / "in")), str(tmp_path / "home"))
+    assert (report.inserted_records, report.skipped_records) == (6001, 2999)
+    facts = read_table(spark, str(tmp_path / "home"), "measurements")
+    assert facts.filter("unique_id = 7").first().data_value == 0
+    places = {r.geo_join_id: r.geo_place_name for r in read_table(spark, str(tmp_path / "home"), "geographic").collect()}
+    assert places[5] == "p1" and places[0] == "p0" and sorted(places) == [0, 2, 3, 5, 6, 8]
