@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import bpe, chat, counts, packing, sharding
+from gaugeworks.llm import bpe, chat, counts, ngram_join, packing, sharding, simhash
 from gaugeworks.llm.tables import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +29,10 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -55,6 +59,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), WORD_BPE))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.with_near_documents(simhash.with_edits(table(spark, sf_dir, "documents")))
+
+
 def _with_workers(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -65,7 +73,15 @@ def _with_workers(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[
 
 QUERIES = {
     q.__name__: _with_workers(q)
-    for q in (op3_bpe_round_trip, op4_chat_format, op5_vector_shards, op6_token_counts, op8_best_fit_packing)
+    for q in (
+        op1_ngram_join,
+        op3_bpe_round_trip,
+        op4_chat_format,
+        op5_vector_shards,
+        op6_token_counts,
+        op8_best_fit_packing,
+        op9_simhash,
+    )
 }
 
 #: Tokenizers, templates and packings are not SQL: these are tested against brute force in tests/llm.
