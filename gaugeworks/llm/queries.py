@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import bpe, chat, counts, ngram_join, packing, sharding, simhash
+from gaugeworks.llm import bpe, chat, counts, curves, language, ngram_join, packing, quality, sharding, simhash
 from gaugeworks.llm.tables import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -33,6 +33,10 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
 
 
+def op2_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curves.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -55,6 +59,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), WORD_BPE))
 
@@ -63,6 +71,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_near_documents(simhash.with_edits(table(spark, sf_dir, "documents")))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language.fit_text(table(spark, sf_dir, "documents"))
+    found = language.identify(language.page_evidence(table(spark, sf_dir, "pages")), model)
+    return found.withColumnRenamed("id", "page_id")
+
+
 def _with_workers(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -75,12 +89,15 @@ QUERIES = {
     q.__name__: _with_workers(q)
     for q in (
         op1_ngram_join,
+        op2_hilbert_neighbours,
         op3_bpe_round_trip,
         op4_chat_format,
         op5_vector_shards,
         op6_token_counts,
+        op7_quality,
         op8_best_fit_packing,
         op9_simhash,
+        op10_language,
     )
 }
 

@@ -8,6 +8,9 @@ with a chance of about 2^-63.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from typing import Any
+
 import numpy as np
 
 WORDS = 5
@@ -46,7 +49,8 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
-def _block(texts: list[bytes], words: int) -> list[np.ndarray]:
+def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and where those of each text begin, with the end."""
     data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     up, down = _power_tables(len(data) + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUE[data] * up[: len(data)])])
@@ -55,7 +59,11 @@ def _block(texts: list[bytes], words: int) -> list[np.ndarray]:
     starts, stops = steps[0::2], steps[1::2]
     word = mix((sums[stops] - sums[starts]) * down[starts])
     text_starts = np.cumsum([0] + [len(t) + 1 for t in texts])
-    bounds = np.searchsorted(starts, text_starts)
+    return word, np.searchsorted(starts, text_starts)
+
+
+def _block(texts: list[bytes], words: int) -> list[np.ndarray]:
+    word, bounds = _words(texts)
     n = max(len(word) - words + 1, 0)
     rolled = np.full(n, np.uint64(words))
     for i in range(words):
@@ -76,20 +84,36 @@ def _block(texts: list[bytes], words: int) -> list[np.ndarray]:
 
 def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
     """Per text its distinct shingles, ascending. Fewer words than that count as one shingle, none as no shingle."""
-    out, block, held = [], [], 0
-    with np.errstate(over="ignore"):
-        for text in texts:
-            raw = (text or "").encode("utf-8")
-            if block and held + len(raw) > _BLOCK:
-                out += _block(block, words)
-                block, held = [], 0
-            block.append(raw)
-            held += len(raw)
-        if block:
-            out += _block(block, words)
+    return [s for block in _blocks(texts) for s in _quiet(_block, block, words)]
+
+
+def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
+    """Per text the hashes of its words in order; A-Z count as a-z."""
+    out = []
+    for block in _blocks(texts):
+        word, bounds = _quiet(_words, block)
+        out += [word[low:high] for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
     return out
 
 
+def _quiet(function: Callable, *arguments: object) -> Any:
+    with np.errstate(over="ignore"):
+        return function(*arguments)
+
+
+def _blocks(texts: list[str | None]) -> Iterator[list[bytes]]:
+    block, held = [], 0
+    for text in texts:
+        raw = (text or "").encode("utf-8")
+        if block and held + len(raw) > _BLOCK:
+            yield block
+            block, held = [], 0
+        block.append(raw)
+        held += len(raw)
+    if block:
+        yield block
+
+
 def set_hash(shingles: np.ndarray) -> int:
     """A signed 64-bit name of a set."""
     with np.errstate(over="ignore"):
