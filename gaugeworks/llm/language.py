@@ -9,7 +9,7 @@ likelihoods' posteriors, without the row itself. Bayes' rule joins the four. ``u
 language in which all triples are equally likely, stands for text in none of the others.
 
 Defined results: null and empty texts count by their other evidence; a null or unknown
-declaration, suffix, host or domain is evidence of its own kind; equal rows get equal
+declaration or suffix is no evidence; null hosts or domains are one host or domain; equal rows get equal
 results; a null id stays null; an empty table gives an empty table; without labelled
 documents all is ``und``; other columns are not read.
 """
@@ -114,14 +114,14 @@ def _sums(df: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def _trust(scored: DataFrame, key: str, languages: tuple[str, ...]) -> tuple[list[str], np.ndarray]:
-    """Values of ``key`` and the log chance of each given each language, smoothed towards agreement."""
+    """Values of ``key`` and the log chance of each given each language, smoothed towards agreement; the last, ``other``, says nothing."""
     n = len(languages)
     found = {r[key]: np.array([r[f"s{i}"] for i in range(n)]) for r in _sums(scored, key, n).collect()}  # a row per language at most
-    values = [*languages[:-1], "other"]
-    table = np.array([found.get(v, np.zeros(n)) for v in values]) + 0.5
-    for i, v in enumerate(languages[:-1]):
-        table[values.index(v), i] += 2.0
-    return values, np.log(table / table.sum(axis=0))
+    values = list(languages[:-1])
+    table = np.array([found.get(v, np.zeros(n)) for v in values]).reshape(len(values), n) + 0.5
+    table[np.arange(n - 1), np.arange(n - 1)] += 2.0
+    logs = np.log(table / table.sum(axis=0)) if values else table
+    return [*values, "other"], np.concatenate([logs, np.zeros((1, n))])
 
 
 def _known(value: Column, languages: tuple[str, ...]) -> Column:

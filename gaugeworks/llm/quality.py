@@ -189,8 +189,9 @@ def _voted(source: DataFrame) -> DataFrame:
 def label_model(source: DataFrame) -> LabelModel:
     """The label model of all texts of ``source`` (id, text)."""
     counts = _voted(source).groupBy("votes").agg(F.count("*").alias("n")).orderBy("votes").collect()  # one row per pattern
-    patterns = np.array([list(r["votes"]) for r in counts], np.int64).reshape(len(counts), -1) - 1
-    return fit_labels(patterns if len(counts) else np.zeros((0, 11), np.int64), np.array([r["n"] for r in counts], np.int64))
+    labellers = len(votes("", word_hashes([""])[0]))
+    patterns = np.array([list(r["votes"]) for r in counts], np.int64).reshape(len(counts), labellers) - 1
+    return fit_labels(patterns, np.array([r["n"] for r in counts], np.int64))
 
 
 def _training_rows(source: DataFrame, sample: int) -> DataFrame:

@@ -33,11 +33,11 @@ from gaugeworks.session import settle
 
 OVERHEAD = 16
 BUCKET_ROWS = 40_000
-#: A group above this share of a shard's mean bytes, or above this many rows, is cut into chunks.
-WHOLE_SHARE = 0.25
+#: A group above this share of a shard's mean bytes or rows, or above this many rows, is cut into chunks.
+WHOLE_SHARE = 0.1
 WHOLE_ROWS = 2_000
 #: Share of the bytes, in the smallest groups, that is placed last.
-HELD = 0.03
+HELD = 0.05
 
 
 def measured(df: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -87,7 +87,8 @@ def shard_rows(rows: DataFrame, shards: int, id_column: str = "doc_id", bucket_r
     unit = np.where(share > 0, share, 1.0)
 
     groups = rows.groupBy("key").agg(F.count("*").alias("copies"), F.sum("size").alias("mass"))
-    chunks = F.greatest(F.ceil(F.col("copies") / F.lit(WHOLE_ROWS)), F.ceil(F.col("mass") / F.lit(max(1.0, WHOLE_SHARE * all_bytes / shards))))
+    most_rows, most_bytes = min(WHOLE_ROWS, max(1.0, WHOLE_SHARE * n / shards)), max(1.0, WHOLE_SHARE * all_bytes / shards)
+    chunks = F.greatest(F.ceil(F.col("copies") / F.lit(most_rows)), F.ceil(F.col("mass") / F.lit(most_bytes)))
     large = settle(groups.select("key", F.least(chunks, F.col("copies")).alias("chunks")).where("chunks > 1"), "shard")
     chunk = F.coalesce(F.floor(F.rand(7) * F.col("chunks")), F.lit(0)).cast("long")
     dealt = rows.join(large, "key", "left").withColumn("chunk", chunk).drop("chunks")
@@ -112,9 +113,9 @@ def shard_rows(rows: DataFrame, shards: int, id_column: str = "doc_id", bucket_r
         mass = np.cumsum(sums["size"].to_numpy()[order])
         placed = order[: int(np.searchsorted(mass, (1 - held) * mass[-1], "left")) + 1]
         room = np.tile(vectors.sum(axis=0) / shards, (shards, 1))
-        room = np.roll(room, key[0], axis=0)
         found = np.full(len(sums), -1, np.int64)
-        found[placed] = _place(vectors, placed, room)[placed]
+        # Shards start out equal and ties go to the first, so every bucket counts them from another one.
+        found[placed] = (_place(vectors, placed, room)[placed] + key[0]) % shards
         return numbered(frame, found[of])
 
     once = settle(dealt.groupBy("bucket").applyInPandas(first, base), "shard")
