@@ -26,7 +26,7 @@ def _rows_kept(docs: DataFrame, decide) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps what the quality classifier keeps."""
-    return _rows_kept(docs, lambda rows: quality.quality(rows, "__row").where("keep"))
+    return quality.keep_good(docs)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ scorer learns the one kind.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +33,8 @@ from gaugeworks.session import settle
 #: Documents that train the scorer: those with the smallest hash of id.
 SAMPLE = 3_000
 SHAPES, WORD_BUCKETS = 1024, 1024
+#: Score from which on a document is kept.
+LEAST = 0.5
 #: Very frequent words of English, German, French and Spanish.
 FREQUENT_WORDS = (
     "the of and to in a is that it was for on are with as be by this from or an at not "
@@ -202,9 +204,8 @@ def _training_rows(source: DataFrame, sample: int) -> DataFrame:
     return source.where(mark <= limit) if limit is not None else source.limit(0)
 
 
-def quality(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE, least: float = 0.5) -> DataFrame:
-    """Per row its score, the label model's probability of good, and whether it is kept (score at least ``least``)."""
-    source = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+def _fitted(source: DataFrame, sample: int) -> Callable[[list[str | None]], tuple[np.ndarray, np.ndarray]]:
+    """Label model and scorer of (id, text), as a function from texts to scores and probabilities of good."""
     model = label_model(source)
 
     def example(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,15 +221,37 @@ def quality(df: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     x = np.array([np.frombuffer(r["x"], np.float16) for r in examples], np.float32).reshape(len(examples), SHAPES + WORD_BUCKETS)
     weights, intercept = fit_scorer(x, np.array([r["good"] for r in examples], np.float32))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def score(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        texts = [t or "" for t in texts]
+        words = word_hashes(texts)
+        good = model.posterior(np.array([votes(t, w) for t, w in zip(texts, words, strict=True)]))
+        z = np.array([features(t, w) @ weights + intercept for t, w in zip(texts, words, strict=True)])
+        return np.where([len(w) > 0 for w in words], 1 / (1 + np.exp(-np.clip(z, -500, 500))), 0.0), good
+
+    return score
+
+
+def quality(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE, least: float = LEAST) -> DataFrame:
+    """Per row its score, the label model's probability of good, and whether it is kept (score at least ``least``)."""
+    source = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    score = _fitted(source, sample)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            words = word_hashes(texts)
-            good = model.posterior(np.array([votes(t, w) for t, w in zip(texts, words, strict=True)]))
-            z = np.array([features(t, w) @ weights + intercept for t, w in zip(texts, words, strict=True)])
-            scores = np.where([len(w) > 0 for w in words], 1 / (1 + np.exp(-np.clip(z, -500, 500))), 0.0)
+            scores, good = score(batch.column("text").to_pylist())
             columns = [batch.column("id"), pa.array(scores), pa.array(good), pa.array(scores >= least)]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "score", "p_good", "keep"])
 
     kind = dict(source.dtypes)["id"]
-    return source.mapInArrow(score, f"id {kind}, score double, p_good double, keep boolean").withColumnRenamed("id", id_column)
+    return source.mapInArrow(judge, f"id {kind}, score double, p_good double, keep boolean").withColumnRenamed("id", id_column)
+
+
+def keep_good(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE, least: float = LEAST) -> DataFrame:
+    """The rows of ``df`` that :func:`quality` keeps, whole and without a shuffle."""
+    score = _fitted(df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")), sample)
+
+    def good_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows_of(batches):
+            yield batch.filter(pa.array(score(batch.column(text_column).to_pylist())[0] >= least))
+
+    return df.mapInArrow(good_rows, df.schema)
