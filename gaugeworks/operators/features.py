@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from gaugeworks.functions.parse import parse_date, parse_number
 from gaugeworks.session import settle
 
-CATEGORY_LIMIT = 1000
 
 
 def coerce_and_drop(
@@ -21,10 +20,13 @@ def coerce_and_drop(
 
 
 def group_profile(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Mean, extremes, count and spread per group, computed once and settled."""
+    """Mean, extremes, count and spread per group, computed once and settled.
+
+    NULL and NaN values are left out.
+    """
     number = F.col(value)
     profile = (
-        df.filter(F.col(group).isNotNull() & number.isNotNull())
+        df.filter(F.col(group).isNotNull() & number.isNotNull() & ~F.isnan(number.cast("double")))
         .groupBy(group)
         .agg(
             F.avg(number).alias("group_mean"),
@@ -56,22 +58,27 @@ def group_deviation(
     return joined.withColumn(deviation, F.col(value) - F.col(baseline))
 
 
+def category_names(df: DataFrame, column: str = "name") -> list[str]:
+    """The distinct values of a column that are to become columns."""
+    return sorted(row[0] for row in df.select(column).filter(F.col(column).isNotNull()).distinct().collect())
+
+
 def one_hot(
     df: DataFrame,
     column: str = "name",
     categories: list[str] | None = None,
-    limit: int = CATEGORY_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
     """Replace a column by 0/1 columns, one per category but the first.
 
-    Categories are in code-point order. Without a list they are read from the data;
-    more than ``limit`` of them is an error, since each one becomes a column.
+    Categories are in code-point order. Without a list they are read from the data.
+    Each becomes a column; a caller who fears too many sets ``limit``, and more of them
+    are an error.
     """
     if categories is None:
-        found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-        if len(found) > limit:
-            raise ValueError(f"more than {limit} categories in {column}")
-        categories = sorted(row[0] for row in found)
+        categories = category_names(df, column)
+    if limit is not None and len(categories) > limit:
+        raise ValueError(f"more than {limit} categories in {column}")
     others = [F.col(f"`{c}`") for c in df.columns if c != column]
     dummies = [
         F.when(F.col(column) == category, 1).otherwise(0).alias(f"{column}_{category}") for category in categories[1:]

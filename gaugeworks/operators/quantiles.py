@@ -1,8 +1,7 @@
 """Exact quantiles per group without gathering a group.
 
 Each wanted quantile lies between two order statistics. The range that holds them is
-narrowed by counting: rows inside the current range are counted into equal-width
-cells, which needs one map-side aggregate and a shuffle of counts only, and the cell
+narrowed by counting: rows inside the current range are counted into cells, which needs one map-side aggregate and a shuffle of counts only, and the cell
 that holds the wanted rank is the next range. When few rows are left inside every
 range, their distinct values are ranked. The result equals linear interpolation on
 the sorted values, whatever the distribution.
@@ -10,7 +9,7 @@ the sorted values, whatever the distribution.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.session import settle
@@ -53,15 +52,28 @@ def _inside(rows: DataFrame, targets: DataFrame) -> DataFrame:
     return rows.join(ranges, "g").filter(F.col("v").between(F.col("low"), F.col("high")))
 
 
-def _cells(rows: DataFrame, targets: DataFrame, cells: int) -> DataFrame:
-    """Counts and extremes per equal-width cell of each range. Halving keeps the
-    width of the largest possible range finite."""
+def _scaled(value: Column) -> Column:
+    """Order-preserving map of all doubles to a short range, by magnitude."""
+    size = F.least(F.abs(value), F.lit(_LARGEST))
+    return F.when(size > 0, F.signum(value) * (F.ln(size) + 745)).otherwise(0.0)
+
 
-    def half(name: str):
-        return F.least(F.greatest(F.col(name), F.lit(-_LARGEST)), F.lit(_LARGEST)) / 2
+def _cells(rows: DataFrame, targets: DataFrame, cells: int) -> DataFrame:
+    """Counts and extremes per cell of each range.
 
-    share = F.coalesce(F.try_divide(half("v") - half("low"), half("high") - half("low")), F.lit(0.0))
-    cell = F.least(F.floor(share * cells), F.lit(cells - 1))
+    Cells are of equal width where the range's ends are of one sign and at most a factor
+    of two apart, else of equal width by magnitude, so few rounds narrow any range. A
+    range too short for either is cut into its lowest value and the rest.
+    """
+    v, low, high = F.col("v"), F.col("low"), F.col("high")
+    close = ((low > 0) & (high / 2 <= low)) | ((high < 0) & (low / 2 >= high))
+    finite = (F.abs(low) <= _LARGEST) & (F.abs(high) <= _LARGEST)
+    linear = F.try_divide(v - low, high - low)
+    by_size = F.try_divide(_scaled(v) - _scaled(low), _scaled(high) - _scaled(low))
+    share = F.when(close & finite, linear).otherwise(by_size)
+    # least() skips NULL, so a missing share has to be asked for.
+    placed = F.least(F.floor(share * cells), F.lit(cells - 1))
+    cell = F.when(share.isNotNull(), placed).otherwise(F.when(v > low, F.lit(1)).otherwise(0)).cast("bigint")
     return (
         _inside(rows, targets)
         .groupBy("g", "low", "high", cell.alias("cell"))
@@ -122,13 +134,14 @@ def group_quantiles(
 ) -> DataFrame:
     """Columns ``group``, ``probability``, ``quantile``; NULL and NaN are left out.
 
-    ``rank_limit`` bounds the rows ranked at once; each round of narrowing reads the
-    data once and divides the width of every range by ``cells``.
+    ``rank_limit`` bounds the rows ranked at once. The narrow pair of group and value is
+    written once; each round of narrowing reads it.
     """
     number = F.col(value).cast("double")
     rows = df.select(F.col(group).alias("g"), number.alias("v")).filter(
         F.col("g").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v")
     )
+    rows = settle(rows, "quantile-rows")
     targets = settle(_targets(rows, probabilities), "quantile-ranges")
     while True:
         most = targets.filter("open").agg(F.max("inside")).first()[0]

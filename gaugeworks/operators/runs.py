@@ -44,6 +44,7 @@ def latest_runs(events: DataFrame) -> DataFrame:
     )
 
 
-def successful(events: DataFrame) -> DataFrame:
-    """Ids of the runs whose latest event is a success."""
-    return latest_runs(events).filter(F.col("status") == SUCCESS).select("run_id")
+def visible_attempts(events: DataFrame) -> DataFrame:
+    """Run and attempt of each run's latest success, whatever happened to the run later."""
+    done = events.filter(F.col("status") == SUCCESS)
+    return done.groupBy("run_id").agg(F.max_by("attempt", "event_timestamp").alias("attempt"))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 
 def group_mean(df: DataFrame, group: str = "geo_place_name", value: str = "data_value") -> DataFrame:
-    return df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.avg(value).alias("mean_value"))
+    """Mean per group over the values that are numbers; NULL where there is none."""
+    number = F.when(_usable(F.col(value)), F.col(value))
+    return df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.avg(number).alias("mean_value"))
 
 
 def top_groups(df: DataFrame, group: str = "geo_place_name", value: str = "data_value", top: int = 10) -> DataFrame:
@@ -15,6 +17,12 @@ def top_groups(df: DataFrame, group: str = "geo_place_name", value: str = "data_
     return group_mean(df, group, value).orderBy(F.desc("mean_value"), group).limit(top)
 
 
+def top_of_profile(profile: DataFrame, group: str = "geo_place_name", top: int = 10) -> DataFrame:
+    """The same from a group profile, which holds the means already."""
+    named = profile.select(group, F.col("group_mean").alias("mean_value"))
+    return named.orderBy(F.desc("mean_value"), group).limit(top)
+
+
 def _usable(column: Column) -> Column:
     return column.isNotNull() & ~F.isnan(column.cast("double"))
 

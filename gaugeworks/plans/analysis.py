@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gaugeworks.functions.calendar import add_season, split_date
 from gaugeworks.operators.distribution import deviation_spread, histogram, kernel_density
-from gaugeworks.operators.features import group_deviation, group_profile, one_hot
+from gaugeworks.operators.features import category_names, group_deviation, group_profile, one_hot
 from gaugeworks.operators.joins import for_indicator, join_geographic, join_indicators
 from gaugeworks.operators.quantiles import box_summary
-from gaugeworks.operators.stats import correlation, top_groups
+from gaugeworks.operators.stats import correlation, top_of_profile
+from gaugeworks.session import settle
 from gaugeworks.sources.files import write_csv
 from gaugeworks.sources.tables import read_table
 
@@ -39,16 +40,30 @@ def place_rows(fact: DataFrame, geographic: DataFrame, indicator: int) -> DataFr
     return joined.dropna(subset=["start_date", VALUE, PLACE])
 
 
+def _names_in_use(fact: DataFrame, indicators: DataFrame) -> list[str]:
+    """Indicator names that facts refer to: one narrow column of the fact is read, and the names come from the dimension."""
+    used = fact.select("indicator_id").distinct()
+    return category_names(indicators.join(used, "indicator_id", "left_semi"))
+
+
 def run_analysis(
-    spark: SparkSession, warehouse: str, indicator: int = INDICATOR, export_to: str | None = None
+    spark: SparkSession,
+    warehouse: str,
+    indicator: int = INDICATOR,
+    export_to: str | None = None,
+    category_limit: int | None = None,
 ) -> Analysis:
-    """All results as DataFrames; with ``export_to`` also the two CSV exports there."""
+    """All results as DataFrames; with ``export_to`` also the two CSV exports there.
+
+    The rows of the indicator with their places are written once and read by the results
+    that need them; the top places come from the same group profile as the deviations.
+    """
     fact = read_table(spark, warehouse, "measurements")
     geographic = read_table(spark, warehouse, "geographic")
     indicators = read_table(spark, warehouse, "indicators")
 
     seasonal = add_season(for_indicator(fact, indicator))
-    places = add_season(place_rows(fact, geographic, indicator))
+    places = settle(add_season(place_rows(fact, geographic, indicator)), "places")
     profile = group_profile(places, PLACE, VALUE)
     deviations = group_deviation(places, PLACE, VALUE, deviation=DEVIATION, profile=profile)
     spread = deviation_spread(profile)
@@ -57,10 +72,10 @@ def run_analysis(
         season_correlation=correlation(seasonal),
         season_boxes=box_summary(seasonal),
         deviations=deviations,
-        top_places=top_groups(places, PLACE, VALUE),
+        top_places=top_of_profile(profile, PLACE),
         deviation_histogram=histogram(deviations, DEVIATION, spread=spread),
         deviation_density=kernel_density(deviations, DEVIATION, spread=spread),
-        encoded=one_hot(join_indicators(fact, indicators)),
+        encoded=one_hot(join_indicators(fact, indicators), categories=_names_in_use(fact, indicators), limit=category_limit),
         split=split_date(fact),
     )
     if export_to:

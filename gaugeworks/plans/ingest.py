@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 import os
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from gaugeworks.schemas import FILE_ORDER
 from gaugeworks.session import shuffle_width
 from gaugeworks.sources.files import scan_source
 from gaugeworks.sources.spec import SourceSpec
-from gaugeworks.sources.tables import append_run_event, check_run_id, read_table, write_run_rows
+from gaugeworks.sources.tables import append_run_event, check_run_id, read_run_events, read_table, write_run_rows
 
 log = logging.getLogger(__name__)
 
@@ -63,7 +63,7 @@ def _stage(raw: DataFrame, spec: SourceSpec, path: str) -> tuple[DataFrame, dict
     return raw.sparkSession.read.schema(tagged.schema).parquet(path), seen.get
 
 
-def _load(staged: DataFrame, counts: dict, spec: SourceSpec, warehouse: str, run_id: str) -> int:
+def _load(staged: DataFrame, counts: dict, spec: SourceSpec, warehouse: str, run_id: str, attempt: str) -> int:
     """Dimensions, then facts, then rejects; returns the number of new facts."""
     spark = staged.sparkSession
     valid = valid_rows(staged, spec.rules)
@@ -73,7 +73,7 @@ def _load(staged: DataFrame, counts: dict, spec: SourceSpec, warehouse: str, run
     ):
         found = extract_dimension(valid, mapping, key, FILE_ORDER)
         known = read_table(spark, warehouse, table).select(key)
-        write_run_rows(found.join(known, key, "left_anti"), warehouse, table, run_id)
+        write_run_rows(found.join(known, key, "left_anti"), warehouse, table, run_id, attempt)
 
     # First wins on the fact key alone already picks the first row of any key list
     # that holds it; other lists need their own pass.
@@ -85,14 +85,21 @@ def _load(staged: DataFrame, counts: dict, spec: SourceSpec, warehouse: str, run
     written = Observation()
     fresh = fresh.withColumn("load_timestamp", F.current_timestamp())
     write_run_rows(
-        fresh.observe(written, F.count(F.lit(1)).alias("inserted")), warehouse, "measurements", run_id
+        fresh.observe(written, F.count(F.lit(1)).alias("inserted")), warehouse, "measurements", run_id, attempt
     )
 
     rejects = reject_rows(rejected_rows(staged), run_id, FILE_ORDER)
-    write_run_rows(rejects, warehouse, "ingestion_rejects", run_id)
+    write_run_rows(rejects, warehouse, "ingestion_rejects", run_id, attempt)
     return written.get["inserted"]
 
 
+def stored_report(spark: SparkSession, warehouse: str, run_id: str) -> RunReport | None:
+    """The report of a run that has succeeded, from the run log."""
+    done = read_run_events(spark, warehouse).filter((F.col("run_id") == run_id) & (F.col("status") == SUCCESS))
+    last = done.orderBy(F.desc("event_timestamp")).first()
+    return RunReport(**{f.name: last[f.name] for f in fields(RunReport)}) if last else None
+
+
 def run_ingest(
     spark: SparkSession,
     spec: SourceSpec,
@@ -104,25 +111,31 @@ def run_ingest(
     """Load one source into the warehouse folder.
 
     Rows become visible with the SUCCESS event, which is written last; a failed load
-    leaves a FAILED event and no visible row, and the error is raised again. A retry
-    under the same run id replaces what the earlier attempt wrote. ``source`` gives
-    the rows directly, in the form :func:`scan_source` returns. One load at a time may
-    write to a warehouse.
+    leaves a FAILED event and no visible row, and the error is raised again. A failed
+    run may be tried again under its id. A run that has succeeded is not loaded again:
+    its stored report is the answer, so neither a replay nor a failing retry can touch
+    rows that others rely on. ``source`` gives the rows directly, in the form
+    :func:`scan_source` returns. One load at a time may write to a warehouse.
     """
     run_id = check_run_id(run_id or uuid.uuid4().hex)
+    stored = stored_report(spark, warehouse, run_id)
+    if stored:
+        log.info("load %s has succeeded before", run_id)
+        return stored
+    attempt = uuid.uuid4().hex
     source_file = os.path.basename(spec.path.rstrip("/"))
-    append_run_event(spark, warehouse, run_id=run_id, source_file=source_file, status=STARTED)
+    append_run_event(spark, warehouse, run_id=run_id, source_file=source_file, status=STARTED, attempt=attempt)
     totals = {"total_records": 0, "valid_records": 0, "rejected_records": 0}
     try:
         raw = scan_source(spark, spec) if source is None else source
         if force_reject:
             raw = inject_bad_row(raw, FILE_ORDER)
-        staged, counts = _stage(raw, spec, f"{warehouse}/_staging/{spec.name}")
+        staged, counts = _stage(raw, spec, f"{warehouse}/_staging/{spec.key}")
         totals = {name: counts[name] for name in totals}
         if totals["rejected_records"]:
             log_reject_summary(rejected_rows(staged))
         with shuffle_width(spark, totals["total_records"]):
-            inserted = _load(staged, counts, spec, warehouse, run_id)
+            inserted = _load(staged, counts, spec, warehouse, run_id, attempt)
     except Exception as error:
         append_run_event(
             spark,
@@ -131,6 +144,7 @@ def run_ingest(
             source_file=source_file,
             status=FAILED,
             error_message=str(error),
+            attempt=attempt,
             **{**totals, "valid_records": 0, "inserted_records": 0, "skipped_records": 0},
         )
         log.exception("load %s failed", run_id)
@@ -142,5 +156,5 @@ def run_ingest(
         skipped_records=totals["valid_records"] - inserted,
         **totals,
     )
-    append_run_event(spark, warehouse, source_file=source_file, **vars(report))
+    append_run_event(spark, warehouse, source_file=source_file, attempt=attempt, **vars(report))
     return report

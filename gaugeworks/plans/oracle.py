@@ -158,6 +158,8 @@ FROM fact WHERE indicator_id = 1""",
   c_acctbal AS acct_bal, c_mktsegment AS mkt_segment FROM customer""",
     "fact_projection": f"""WITH {_FACT}
 SELECT * REPLACE (CAST(start_date AS VARCHAR) AS start_date), 'run-1' AS run_id FROM fact WHERE message <> 'P'""",
+    "src_csv_headers": """SELECT o_orderkey AS unique_id, o_orderpriority AS name,
+  strftime(o_orderdate, '%Y-%m-%d') AS start_date, o_totalprice AS data_value FROM orders""",
     "src_csv": """SELECT o_orderkey AS unique_id, o_orderpriority AS name,
   strftime(o_orderdate, '%Y-%m-%d') AS start_date, o_totalprice AS data_value FROM orders""",
     "src_json": """SELECT o_orderkey AS unique_id, o_orderpriority AS name,
@@ -232,6 +234,18 @@ FROM tagged WHERE error_reason IS NULL
 QUALIFY row_number() OVER (PARTITION BY CAST(indicator_id AS INTEGER) ORDER BY k, c) = 1""",
     "append_new_rows": f"""WITH {_FACT}
 SELECT * REPLACE (CAST(start_date AS VARCHAR) AS start_date) FROM fact WHERE message <> 'F'""",
+    "ingest_reload": f"""WITH {_FACT}, {_GEO}, early AS (SELECT * FROM fact WHERE unique_id % 2 = 0 AND indicator_id < 5)
+SELECT 'fact' AS kind, CAST(unique_id AS VARCHAR) AS id,
+  CASE WHEN unique_id IN (SELECT unique_id FROM early) THEN data_value ELSE 1.5 END AS data_value,
+  CASE WHEN unique_id IN (SELECT unique_id FROM early) THEN 'run-1' ELSE 'run-2' END AS label FROM fact
+UNION ALL SELECT DISTINCT 'indicator', CAST(indicator_id AS VARCHAR), CAST(NULL AS DOUBLE), 'kind ' || indicator_id FROM fact
+UNION ALL SELECT DISTINCT 'place', CAST(geo_join_id AS VARCHAR), CAST(NULL AS DOUBLE),
+  CASE WHEN geo_join_id IN (SELECT geo_join_id FROM early) THEN geo_place_name ELSE 'renamed' END
+FROM fact JOIN geographic USING (geo_join_id)""",
+    "price_quantiles": """SELECT l_returnflag, probability, round(CASE probability
+  WHEN 0.1 THEN quantile_cont(l_extendedprice, 0.1) WHEN 0.5 THEN quantile_cont(l_extendedprice, 0.5)
+  ELSE quantile_cont(l_extendedprice, 0.99) END, 4) AS quantile
+FROM lineitem, (VALUES (CAST(0.1 AS DOUBLE)), (0.5), (0.99)) p(probability) GROUP BY l_returnflag, probability""",
     "ingest_measurements": f"WITH {_TAGGED} {_VALID_FACT}",
     "ingest_rejects": f"""WITH {_TAGGED}
 SELECT 'run-1' AS run_id, error_reason, count(*) AS reject_count, count(*) AS distinct_ids

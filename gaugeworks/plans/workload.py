@@ -15,7 +15,7 @@ from gaugeworks.operators.runs import latest_runs
 from gaugeworks.operators.validate import REASON, rejected_rows, tag_records, valid_rows
 from gaugeworks.plans import testtables as data
 from gaugeworks.plans.ingest import run_ingest
-from gaugeworks.schemas import SOURCE_COLUMNS
+from gaugeworks.schemas import FILE_NAME, SOURCE_COLUMNS
 from gaugeworks.session import scratch_path, settle
 from gaugeworks.sources.files import normalize_headers, read_source, write_csv
 from gaugeworks.sources.spec import SourceSpec
@@ -104,6 +104,17 @@ def src_csv(spark: SparkSession, folder: str) -> DataFrame:
     return _order_values(read_source(spark, SourceSpec(path=path, mapping={c: c for c in columns})))
 
 
+@query
+def src_csv_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """Two files of one source whose headers differ in order and case."""
+    path, rows = scratch_path(spark, "orders-headers"), _order_texts(spark, folder)
+    turned = rows.select(*[F.col(c).alias(c.upper()) for c in reversed(rows.columns)])
+    write_csv(rows.filter(F.col("Unique ID") % 2 == 0), f"{path}/even")
+    write_csv(turned.filter(F.col("UNIQUE ID") % 2 == 1), f"{path}/odd")
+    columns = ("unique_id", "name", "start_date", "data_value")
+    return _order_values(read_source(spark, SourceSpec(path=f"{path}/*", mapping={c: c for c in columns})))
+
+
 @query
 def src_json(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "orders-json")
@@ -222,7 +233,7 @@ def run_metrics(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def reject_rows(spark: SparkSession, folder: str) -> DataFrame:
     rejected = rejected_rows(_tagged(spark, folder))
-    rows = rejects.reject_rows(rejected.drop(data.ORIGIN), "run-1", data.WIDE_ORDER, F.lit("orders.parquet"))
+    rows = rejects.reject_rows(rejected.withColumnRenamed(data.ORIGIN, FILE_NAME), "run-1", data.WIDE_ORDER)
     fields = ["unique_id", "indicator_id", "name", "geo_place_name", "start_date", "message"]
     return rows.select(
         "run_id",
@@ -318,6 +329,27 @@ def ingest_rejects(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def ingest_reload(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of even keys loaded, then all orders with other values and renamed places: facts and both dimensions."""
+    home = scratch_path(spark, "reload")
+    names = data.geographic(spark, folder)
+    facts = data.fact(spark, folder).join(names, "geo_join_id").withColumn("start_date", text("start_date"))
+    rows = facts.withColumns({"name": F.concat(F.lit("kind "), "indicator_id"), "measure": F.lit("m"), "measure_info": F.lit("i")})
+    later = rows.withColumns({"data_value": F.lit(1.5), "geo_place_name": F.lit("renamed")})
+    first = (F.col("unique_id") % 2 == 0) & (F.col("indicator_id") < 5)
+    for run, part in (("run-1", rows.filter(first)), ("run-2", later)):
+        write_csv(part.select(*SOURCE_COLUMNS), f"{home}/{run}")
+        run_ingest(spark, SourceSpec(path=f"{home}/{run}"), f"{home}/tables", run)
+    measured, kinds, places = (read_table(spark, f"{home}/tables", t) for t in ("measurements", "indicators", "geographic"))
+    return (
+        measured.select(F.lit("fact").alias("kind"), text("unique_id").alias("id"), "data_value", "run_id")
+        .unionByName(kinds.select(F.lit("indicator").alias("kind"), text("indicator_id").alias("id"), F.lit(None).cast("double").alias("data_value"), F.col("name").alias("run_id")))
+        .unionByName(places.select(F.lit("place").alias("kind"), text("geo_join_id").alias("id"), F.lit(None).cast("double").alias("data_value"), F.col("geo_place_name").alias("run_id")))
+        .withColumnRenamed("run_id", "label")
+    )
+
+
 def _ingested(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """Wide rows to CSV, sorted so that file order is key order, then one load."""
     home = scratch_path(spark, "home")
@@ -438,6 +470,14 @@ def season_boxplot(spark: SparkSession, folder: str) -> DataFrame:
     return boxes.select("season_idx", season, "n", *[rounded(c) for c in numbers], "outliers")
 
 
+@query
+def price_quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Quantiles by narrowing ranges over several rounds, as it happens on tables of any size."""
+    lines = data.table(spark, folder, "lineitem").select("l_returnflag", "l_extendedprice")
+    found = quantiles.group_quantiles(lines, "l_returnflag", "l_extendedprice", [0.1, 0.5, 0.99], cells=16, rank_limit=100)
+    return found.withColumn("quantile", rounded("quantile"))
+
+
 def _deviations(spark: SparkSession, folder: str) -> tuple[DataFrame, distribution.Spread]:
     rows = data.places(spark, folder).select(PLACE, VALUE)
     profile = features.group_profile(rows, PLACE, VALUE)

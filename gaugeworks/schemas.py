@@ -66,6 +66,7 @@ RUN_EVENTS = _schema(
     inserted_records=_long,
     skipped_records=_long,
     error_message=_text,
+    attempt=_text,
 )
 INGESTION_RUNS = _schema(
     run_id=_text,

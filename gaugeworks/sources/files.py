@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +18,8 @@ from gaugeworks.sources.spec import SourceSpec
 
 MALFORMED = "_extra"
 _PAD = "_pad"
+# Without it a stream ignores files older than a week before the newest one.
+ANY_AGE = "36500d"
 
 
 def normalize_name(name: str) -> str:
@@ -89,6 +94,39 @@ def csv_columns(spark: SparkSession, spec: SourceSpec) -> list[str]:
     return names
 
 
+def _first_line(spark: SparkSession, path: str, encoding: str) -> str:
+    """The first line of one file, through the file system and codec it is stored with."""
+    context = spark.sparkContext
+    jvm, conf = context._jvm, context._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(conf).open(place)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+    lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, encoding))
+    try:
+        return lines.readLine() or ""
+    finally:
+        lines.close()
+
+
+def headers(spark: SparkSession, spec: SourceSpec) -> dict[tuple[str, ...], list[str]]:
+    """Files of a CSV source by their header, as column names in file order.
+
+    One line of each file is read, by a few threads. A file whose header shares no column
+    with the mapping is an error, since its rows could only be read as something else.
+    """
+    files = spark.read.text(spec.path).inputFiles()
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(lambda file: _first_line(spark, file, spec.encoding), files))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(files, lines, strict=True):
+        names = tuple(next(csv.reader([line.lstrip("\ufeff")], delimiter=spec.delimiter), []))
+        if names:  # an empty file has no rows either
+            if not {normalize_name(n) for n in names} & {normalize_name(n) for n in spec.mapping}:
+                raise ValueError(f"header of {file} has none of the columns of {spec.name}: {list(names)}")
+            found.setdefault(names, []).append(file)
+    return found
+
+
 def _scan(spark: SparkSession, reader, spec: SourceSpec) -> DataFrame:
     if spec.format == "csv":
         return _csv_reader(reader, spec, csv_columns(spark, spec)).csv(spec.path).drop(_PAD)
@@ -104,14 +142,22 @@ def scan_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """Scan, normalize headers, map columns; every value is text as in the file.
 
     A row with too many fields has its first surplus field in ``_extra``; a short row
-    is filled with NULL.
+    is filled with NULL. CSV files may differ in their headers: those with equal ones
+    are scanned together and the scans are united by target column.
     """
-    return _named(with_file_order(_scan(spark, spark.read, spec)), spec, LINEAGE)
+    groups = headers(spark, spec) if spec.format == "csv" and spec.has_header else {}
+    if len({tuple(map(normalize_name, names)) for names in groups}) <= 1:
+        return _named(with_file_order(_scan(spark, spark.read, spec)), spec, LINEAGE)
+    scans = []
+    for names, files in sorted(groups.items()):
+        rows = _csv_reader(spark.read, spec, list(names)).csv(files).drop(_PAD)
+        scans.append(_named(with_file_order(rows), spec, LINEAGE))
+    return reduce(DataFrame.unionByName, scans)
 
 
 def stream_source(spark: SparkSession, spec: SourceSpec, files_per_batch: int | None = None) -> DataFrame:
     """The same rows as a stream of newly arrived files, without the row number."""
-    reader = spark.readStream
+    reader = spark.readStream.option("maxFileAge", ANY_AGE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     place = [name for name in LINEAGE if name != ROW]

@@ -5,6 +5,8 @@ A new source is a new :class:`SourceSpec`; no code changes.
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
@@ -68,6 +70,11 @@ class SourceSpec:
         if self.null_tokens is None:
             object.__setattr__(self, "null_tokens", list(NULL_TOKENS) if self.format == "csv" else [])
 
+    @property
+    def key(self) -> str:
+        """Name of the source that differs between paths, also where names are equal."""
+        return f"{re.sub(r'[^A-Za-z0-9._-]', '_', self.name)}-{hashlib.sha256(self.path.encode()).hexdigest()[:12]}"
+
     @classmethod
     def from_config(cls, config: Mapping[str, Any]) -> SourceSpec:
         """Spec from a parsed configuration with the sections ``data_source``,

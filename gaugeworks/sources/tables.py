@@ -1,8 +1,8 @@
-"""Warehouse tables: one folder per table, one partition folder per run.
+"""Warehouse tables: one folder per table, run and attempt.
 
-A run overwrites its own partition, so that a retry under the same id is
-idempotent. Rows of a run count only once the run log says SUCCESS, which is
-written last.
+No attempt touches the files of another. The SUCCESS event of a run, written last,
+names the attempt whose rows count; readers open the folders so named and no others,
+so no row is filtered or shuffled to decide whether it is visible.
 """
 
 from __future__ import annotations
@@ -10,12 +10,11 @@ from __future__ import annotations
 import re
 from datetime import UTC, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from gaugeworks.operators.mapping import conform
-from gaugeworks.operators.runs import latest_runs, successful
+from gaugeworks.operators.runs import latest_runs, visible_attempts
 from gaugeworks.schemas import RUN_EVENTS, RUN_TABLES
 
 RUN_LOG = "ingestion_runs"
@@ -28,37 +27,45 @@ def check_run_id(run_id: str) -> str:
     return run_id
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
 
 
 def _stored_schema(table: str) -> T.StructType:
     others = [f for f in RUN_TABLES[table].fields if f.name != "run_id"]
-    return T.StructType([*others, T.StructField("run_id", T.StringType())])
+    return T.StructType([*others, T.StructField("run_id", T.StringType()), T.StructField("attempt", T.StringType())])
 
 
 def read_run_events(spark: SparkSession, warehouse: str) -> DataFrame:
-    return _read_or_empty(spark, f"{warehouse}/{RUN_LOG}", RUN_EVENTS)
+    path = f"{warehouse}/{RUN_LOG}"
+    return spark.read.schema(RUN_EVENTS).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], RUN_EVENTS)
 
 
 def read_table(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
-    """Rows of the successful runs; an empty frame when nothing is stored yet."""
+    """Rows of the successful runs; an empty frame when nothing is stored yet.
+
+    The list of folders is as long as the file listing that Spark keeps of the table.
+    """
     if table == RUN_LOG:
         return latest_runs(read_run_events(spark, warehouse))
-    rows = _read_or_empty(spark, f"{warehouse}/{table}", _stored_schema(table))
-    done = successful(read_run_events(spark, warehouse))
-    return rows.join(done, "run_id", "left_semi").select(*RUN_TABLES[table].names)
+    done = visible_attempts(read_run_events(spark, warehouse)).collect()
+    paths = [_folder(warehouse, table, r.run_id, r.attempt) for r in done]
+    if not paths:
+        return spark.createDataFrame([], RUN_TABLES[table])
+    rows = spark.read.schema(_stored_schema(table)).option("basePath", f"{warehouse}/{table}").parquet(*paths)
+    return rows.select(*RUN_TABLES[table].names)
+
+
+def _folder(warehouse: str, table: str, run_id: str, attempt: str) -> str:
+    return f"{warehouse}/{table}/run_id={run_id}/attempt={attempt}"
 
 
-def write_run_rows(df: DataFrame, warehouse: str, table: str, run_id: str) -> None:
-    """Replace the partition of one run."""
+def write_run_rows(df: DataFrame, warehouse: str, table: str, run_id: str, attempt: str) -> None:
+    """Write the rows of one attempt of a run."""
     rows = conform(df, RUN_TABLES[table])
-    rows.drop("run_id").write.mode("overwrite").parquet(f"{warehouse}/{table}/run_id={check_run_id(run_id)}")
+    rows.drop("run_id").write.parquet(_folder(warehouse, table, check_run_id(run_id), check_run_id(attempt)))
 
 
 def append_run_event(spark: SparkSession, warehouse: str, **event: object) -> None:

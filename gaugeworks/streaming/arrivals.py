@@ -1,8 +1,9 @@
 """Load new files of a folder, each exactly once.
 
 The stream only finds the new files; every micro-batch is one ordinary load. Its run
-id is made from the batch number, so that a batch that is replayed after a failure
-replaces what it wrote before.
+id is made from the source's path, the stream's id and the batch number: a batch that is
+replayed has its earlier id and is not loaded twice, while a stream that has lost its
+progress starts with new ids, and its rows meet the stored ones by key as in any load.
 """
 
 from __future__ import annotations
@@ -22,17 +23,19 @@ def load_arrivals(
 ) -> StreamingQuery:
     """Start loading all files not loaded yet; the query ends when there are none.
 
-    Progress is kept below the warehouse folder, one place per source name.
+    Progress is kept below the warehouse folder, one place per source path. Files count
+    as new whatever their date, so the stream remembers every name it has seen.
     """
 
     def load(batch: DataFrame, number: int) -> None:
         rows = batch.withColumn(ROW, F.monotonically_increasing_id())
-        run_ingest(batch.sparkSession, spec, warehouse, f"{spec.name}-{number}", source=rows)
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        run_ingest(batch.sparkSession, spec, warehouse, f"{spec.key}-{stream}-{number}", source=rows)
 
     return (
         stream_source(spark, spec, files_per_batch)
         .writeStream.foreachBatch(load)
-        .option("checkpointLocation", f"{warehouse}/_progress/{spec.name}")
+        .option("checkpointLocation", f"{warehouse}/_progress/{spec.key}")
         .trigger(availableNow=True)
         .start()
     )

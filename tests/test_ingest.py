@@ -103,6 +103,32 @@ def test_failed_load_is_logged_and_invisible(spark, files, tmp_path, monkeypatch
     assert read_run_events(spark, home).filter("run_id = 'half'").count() == 4
 
 
+def test_failing_retry_leaves_a_committed_run_alone(spark, files, tmp_path, monkeypatch):
+    home = str(tmp_path / "home")
+    first = run_ingest(spark, SourceSpec(path=files), home, "r1")
+    import gaugeworks.plans.ingest as plan
+
+    monkeypatch.setattr(plan, "reject_rows", lambda *a: 1 / 0)
+    assert run_ingest(spark, SourceSpec(path=files), home, "r1") == first
+    with pytest.raises(ZeroDivisionError):
+        run_ingest(spark, SourceSpec(path=files + "/b.csv"), home, "r2")
+    for table, rows in (("measurements", 4), ("indicators", 2), ("geographic", 2), ("ingestion_rejects", 6)):
+        assert read_table(spark, home, table).count() == rows
+
+
+def test_stored_rows_are_read_without_a_shuffle(spark, files, tmp_path):
+    home = str(tmp_path / "home")
+    for run in range(3):
+        run_ingest(spark, SourceSpec(path=files), home, f"r{run}")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        plan = read_table(spark, home, "measurements")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 def test_forced_reject(spark, files, tmp_path):
     report = run_ingest(spark, SourceSpec(path=files + "/a.csv"), str(tmp_path / "home"), force_reject=True)
     assert (report.total_records, report.rejected_records) == (4, 1)

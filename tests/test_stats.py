@@ -46,6 +46,40 @@ def test_quantiles_of_any_numbers(spark, numbers):
             assert math.isclose(quantile, want, rel_tol=1e-9, abs_tol=1e-30 + 1e-9 * max(map(abs, numbers)))
 
 
+@pytest.mark.parametrize(
+    "numbers",
+    [
+        [0.0, 5e-324] * 20,
+        [1.7976931348623157e308, math.inf] * 20,
+        [-math.inf, -1.0, 0.0, 5e-324, 1e-323, math.inf] * 6,
+        [s * 10.0**e for e in range(-100, 101, 5) for s in (1, -1)],
+        [1.0 + k * 2.0**-52 for k in range(60)],
+    ],
+)
+def test_quantiles_end_for_every_double(spark, numbers, monkeypatch):
+    from gaugeworks.operators import quantiles
+
+    rounds = []
+    narrow = quantiles._narrow
+    monkeypatch.setattr(quantiles, "_narrow", lambda *a: rounds.append(1) or narrow(*a))
+    found = group_quantiles(values(spark, numbers), "g", "v", [0.0, 0.3, 1.0], cells=8, rank_limit=3).collect()
+    assert len(rounds) <= 20
+    ordered = sorted(numbers)
+    for row in found:
+        position = row.probability * (len(ordered) - 1)
+        low, high = ordered[math.floor(position)], ordered[min(math.floor(position) + 1, len(ordered) - 1)]
+        assert low <= row.quantile <= high
+
+
+def test_numbers_that_are_none(spark):
+    rows = spark.createDataFrame([("a", 2.0), ("a", float("nan")), ("b", float("nan")), ("a", 4.0)], "g string, v double")
+    assert {r.g: r.mean_value for r in group_mean(rows, "g", "v").collect()} == {"a": 3.0, "b": None}
+    profile = group_profile(rows, "g", "v")
+    assert [(r.g, r.group_mean, r.group_max, r.group_count) for r in profile.collect()] == [("a", 3.0, 4.0, 2)]
+    spread = deviation_spread(profile)
+    assert (spread.low, spread.high, spread.count) == (-1.0, 1.0, 2)
+
+
 def test_quantiles_without_rows(spark):
     assert group_quantiles(values(spark, [None, float("nan")]), "g", "v", [0.5]).count() == 0
 
@@ -143,6 +177,8 @@ def test_one_hot(spark):
     assert one_hot(rows, categories=["a", "b", "z"]).columns == ["id", "name_b", "name_z"]
     with pytest.raises(ValueError, match="more than 2"):
         one_hot(rows, limit=2)
+    many = spark.range(1200).select(F.col("id").cast("string").alias("name"))
+    assert len(one_hot(many).columns) == 1199
 
 
 def test_coerce_and_drop(spark):
