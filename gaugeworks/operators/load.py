@@ -13,6 +13,8 @@ from gaugeworks.operators.mapping import map_columns
 # Dimension column to source column.
 INDICATOR_MAP = {c: c for c in ("indicator_id", "name", "measure", "measure_info")}
 GEOGRAPHIC_MAP = {c: c for c in ("geo_join_id", "geo_type_name", "geo_place_name")}
+# Rows of a batch up to which its keys, integers, are sent to all tasks.
+FEW_ROWS = 1_000_000
 FACT_COLUMNS = [
     "unique_id",
     "indicator_id",
@@ -46,15 +48,21 @@ def new_rows(
     key: str,
     order: list[str],
     key_range: tuple[object, object] | None = None,
+    batch_rows: int | None = None,
 ) -> DataFrame:
     """First row per key of the batch whose key is not in ``existing``.
 
     Only the key column of ``existing`` is read. ``key_range``, the least and
     greatest key of the batch when the caller knows them, lets the scan skip row
-    groups. Window and anti-join share one shuffle of the batch on the key.
+    groups. Of a batch of at most ``FEW_ROWS`` rows the keys go to all tasks, so that
+    of the stored keys only those that the batch has are shuffled, however many are
+    stored; a larger batch is joined with all in its range. Window and anti-join share
+    one shuffle of the batch on the key.
     """
     first = dedupe_first(batch, [key], order)
     taken = existing.select(key)
     if key_range is not None and None not in key_range:
         taken = taken.filter(F.col(key).between(*key_range))
+    if batch_rows is not None and batch_rows <= FEW_ROWS:
+        taken = taken.join(F.broadcast(batch.select(key).distinct()), key, "left_semi")
     return first.join(taken, key, "left_anti").drop(*order)

@@ -81,7 +81,7 @@ def _load(staged: DataFrame, counts: dict, spec: SourceSpec, warehouse: str, run
         valid = dedupe_first(valid, spec.dedup_keys, FILE_ORDER)
     facts = fact_projection(valid, run_id, keep=FILE_ORDER)
     existing = read_table(spark, warehouse, "measurements")
-    fresh = new_rows(facts, existing, FACT_KEY, FILE_ORDER, (counts["least_key"], counts["greatest_key"]))
+    fresh = new_rows(facts, existing, FACT_KEY, FILE_ORDER, (counts["least_key"], counts["greatest_key"]), counts["valid_records"])
     written = Observation()
     fresh = fresh.withColumn("load_timestamp", F.current_timestamp())
     write_run_rows(

@@ -147,9 +147,10 @@ def _date_texts(spark: SparkSession, folder: str) -> DataFrame:
     return settle(data.date_texts(spark, folder), "date-texts")
 
 
-def _tagged(spark: SparkSession, folder: str) -> DataFrame:
-    """Tagged wide rows, staged as a load does before it splits them."""
-    return settle(tag_records(data.wide_rows(spark, folder)), "tagged")
+def _tagged(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Tagged wide rows, staged as a load does before it splits them; only ``columns`` if any are named."""
+    tagged = tag_records(data.wide_rows(spark, folder))
+    return settle(tagged.select(*columns) if columns else tagged, "tagged")
 
 
 @query
@@ -217,12 +218,14 @@ def reject_reason(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def reject_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return rejects.reject_summary(rejected_rows(_tagged(spark, folder)), data.WIDE_ORDER)
+    tagged = _tagged(spark, folder, REASON, *data.WIDE_ORDER)
+    return rejects.reject_summary(rejected_rows(tagged), data.WIDE_ORDER)
 
 
 @query
 def reject_samples(spark: SparkSession, folder: str) -> DataFrame:
-    return rejects.reject_samples(rejected_rows(_tagged(spark, folder)), data.WIDE_ORDER)
+    tagged = _tagged(spark, folder, REASON, *data.WIDE_ORDER, *rejects.SAMPLE_FIELDS)
+    return rejects.reject_samples(rejected_rows(tagged), data.WIDE_ORDER)
 
 
 @query

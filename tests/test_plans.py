@@ -69,6 +69,20 @@ def test_append_shuffles_the_batch_once(spark, tmp_path):
     assert "ReadSchema: struct<unique_id:bigint>" in text
 
 
+@needs_tables
+def test_small_batches_cut_the_stored_keys_before_any_shuffle(spark):
+    stored = data.table(spark, FOLDER, "orders").select(F.col("o_orderkey").alias("unique_id"))
+    batch = data.table(spark, FOLDER, "orders").select(F.col("o_orderkey").alias("unique_id"), "o_totalprice").limit(50)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(load.new_rows(batch, stored, "unique_id", ["o_totalprice"], (5, 9), 50), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    stored_side = text[text.index("LeftAnti") :].split("LeftSemi")[0]
+    assert "BroadcastHashJoin" in text and "LeftSemi" in text
+    assert stored_side.rindex("Exchange") < stored_side.rindex("BroadcastHashJoin")
+
+
 @needs_tables
 def test_aggregates_have_a_map_side_part(spark):
     places = data.places(spark, FOLDER)
