@@ -13,16 +13,19 @@ could miss both do so. Hence no link is lost.
 The order takes frequent shingles last, by counts over all documents, which only changes
 which signatures are used, not what is found.
 
-1. One pass over the texts: size, name of the set, a sketch of 64 counters, and counts
-   of frequent shingles. Equal sets are one node from here on.
-2. Signatures, one shuffle. Runs of equal signatures give all pairs up to ``RUN``
-   members; a longer run gives pairs with its first member, and its member list.
+1. One pass over the texts: size, name of the set, a sketch of counters over cells of the
+   domain, about one cell for eight shingles, and counts of frequent shingles. Equal sets
+   are one node from here on.
+2. Signatures, one shuffle. A run of equal signatures gives the pairs of its first member
+   with the others; one of up to ``RUN`` members also its other pairs, a longer one its
+   member list.
 3. Pairs whose counters differ by more than d in sum cannot link and go; the others are
-   verified with their whole sets.
-4. Components of the links. Where a long run still holds several components, its
-   members form a family: families are cut into blocks and every two blocks that may
-   hold an unseen link are compared with whole sets, as a product of matrices. Such a
-   task returns a spanning forest of its links, so no pair list of a group is made.
+   verified with their whole sets. First members' pairs come first; of the other pairs
+   only those between different components are looked at.
+4. Where a long run still holds several components, its members form a family: families
+   are cut into blocks and every two blocks that may hold an unseen link are compared
+   with whole sets, as a product of matrices. Such a task returns a spanning forest of
+   its links, so no pair list of a group is made.
 
 Defined results: null and empty texts, and texts of white space, have no shingles and
 link with nothing, also not with each other; rows that share an id are one document of
@@ -52,7 +55,9 @@ THRESHOLD = 75
 #: Members of a run up to which all its pairs are listed; documents of a block.
 RUN = 32
 BLOCK = 512
-CELLS = 64
+LEAST_CELLS = 64
+#: Kinds of rows that runs give.
+FIRST, OTHER, MEMBER = 0, 1, 2
 #: Frequent shingles whose counts go to the tasks: at most 0.8 MB.
 FREQUENT = 50_000
 #: Nodes up to which the list of wanted nodes goes to all tasks: 8 bytes each.
@@ -99,10 +104,26 @@ def signatures(shingles: np.ndarray, names: np.ndarray, weights: np.ndarray, thr
     return np.concatenate(out)
 
 
+def cells(size: int) -> int:
+    """Cells of a set's sketch: a power of two, the same for all sets of a band."""
+    band = (size.bit_length() - 1) // 2
+    return max(LEAST_CELLS, 4 ** (band + 1) // 8)
+
+
 def sketch(shingles: np.ndarray) -> bytes:
     """Shingles per cell of the domain, capped; the sum of two sketches' differences never exceeds that of the sets."""
-    cells = np.bincount((shingles >> np.uint64(10)).astype(np.int64) % CELLS, minlength=CELLS)
-    return np.minimum(cells, 65_535).astype("<u2").tobytes()
+    n = cells(len(shingles))
+    counts = np.bincount((shingles >> np.uint64(10)).astype(np.int64) & (n - 1), minlength=n)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def sketch_distance(a: bytes, b: bytes) -> int:
+    """Sum of the differences of two sketches, the finer one folded to the cells of the other."""
+    x, y = np.frombuffer(a, np.uint8).astype(np.int32), np.frombuffer(b, np.uint8).astype(np.int32)
+    n = min(len(x), len(y))
+    x, y = x.reshape(-1, n).sum(axis=0), y.reshape(-1, n).sum(axis=0)
+    # A capped cell may hold more than it says, so folding keeps the cap.
+    return int(np.abs(np.minimum(x, 255) - np.minimum(y, 255)).sum())
 
 
 def _profiles(df: DataFrame, words: int) -> DataFrame:
@@ -175,14 +196,15 @@ def _signed(df: DataFrame, words: int, frequent: Broadcast, threshold: int) -> D
     return df.mapInArrow(sign, "signature long, node long, size int")
 
 
-def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-    n = len(both)
-    return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1])], names=["signature", "a", "b"])
+def _pair_batch(kind: int, a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
+    x, y = np.concatenate(a), np.concatenate(b)
+    both = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
+    kinds = np.full(len(both), kind, np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(both[:, 0]), pa.array(both[:, 1])], names=["kind", "a", "b"])
 
 
 def _runs(signed: DataFrame, threshold: int) -> DataFrame:
-    """Rows of two kinds from runs of equal signatures: pairs (null, a, b), and members (signature, node, null) of long runs.
+    """Rows (kind, a, b) from runs of equal signatures: pairs of two kinds, and (``MEMBER``, signature, node) of long runs.
 
     Rows come sorted by signature and node; a run is never held beyond ``RUN`` rows and a batch.
     """
@@ -196,7 +218,8 @@ def _runs(signed: DataFrame, threshold: int) -> DataFrame:
 
         def members(signature: int, nodes: np.ndarray) -> pa.RecordBatch:
             n = len(nodes)
-            return pa.RecordBatch.from_arrays([pa.array(np.full(n, signature)), pa.array(nodes), pa.nulls(n, pa.int64())], names=["signature", "a", "b"])
+            columns = [pa.array(np.full(n, MEMBER, np.int32)), pa.array(np.full(n, signature)), pa.array(nodes)]
+            return pa.RecordBatch.from_arrays(columns, names=["kind", "a", "b"])
 
         def work(sig: np.ndarray, node: np.ndarray, size: np.ndarray, final: bool) -> Iterator[pa.RecordBatch]:
             nonlocal carry, long_run
@@ -204,7 +227,7 @@ def _runs(signed: DataFrame, threshold: int) -> DataFrame:
             sig, node, size = sig[new], node[new], size[new]
             first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
             length = np.diff(np.append(first, len(sig)))
-            lefts, rights = [], []
+            found: dict[int, tuple[list, list]] = {FIRST: ([], []), OTHER: ([], [])}
             open_long = not final and length[-1] > RUN
             if not final and not open_long:  # the last run may go on
                 carry = [x[first[-1] :] for x in (sig, node, size)]
@@ -216,21 +239,23 @@ def _runs(signed: DataFrame, threshold: int) -> DataFrame:
                 if long_run is not None and sig[at[0, 0]] == long_run[0]:
                     at = at[1:]
                 i, j = np.triu_indices(n, 1)
-                left, right = at[:, i].ravel(), at[:, j].ravel()
-                ok = fits(size[left], size[right])
-                lefts.append(node[left[ok]])
-                rights.append(node[right[ok]])
+                for kind, some in ((FIRST, i == 0), (OTHER, i > 0)):
+                    left, right = at[:, i[some]].ravel(), at[:, j[some]].ravel()
+                    ok = fits(size[left], size[right])
+                    found[kind][0].append(node[left[ok]])
+                    found[kind][1].append(node[right[ok]])
             for k in np.flatnonzero((length > RUN) | (sig[first] == (long_run[0] if long_run else 0)) & (long_run is not None)).tolist():
                 run = slice(first[k], first[k] + length[k])
                 if long_run is None or long_run[0] != sig[first[k]]:
                     long_run = (int(sig[first[k]]), int(node[first[k]]), int(size[first[k]]))
                 others = node[run] != long_run[1]
                 ok = others & fits(size[run], np.full(length[k], long_run[2]))
-                lefts.append(node[run][ok])
-                rights.append(np.full(int(ok.sum()), long_run[1]))
+                found[FIRST][0].append(node[run][ok])
+                found[FIRST][1].append(np.full(int(ok.sum()), long_run[1]))
                 yield members(long_run[0], node[run])
-            if lefts:
-                yield _pair_batch(np.concatenate(lefts), np.concatenate(rights))
+            for kind, (lefts, rights) in found.items():
+                if lefts:
+                    yield _pair_batch(kind, lefts, rights)
 
         for batch in batches:
             columns = [np.concatenate([c, batch.column(i).to_numpy()]) for i, c in enumerate(carry)]
@@ -240,7 +265,7 @@ def _runs(signed: DataFrame, threshold: int) -> DataFrame:
             yield from work(*carry, final=True)
 
     sorted_rows = signed.repartition("signature").sortWithinPartitions("signature", "node")
-    return sorted_rows.mapInArrow(pairs_of, "signature long, a long, b long")
+    return sorted_rows.mapInArrow(pairs_of, "kind int, a long, b long")
 
 
 def _near(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
@@ -248,9 +273,9 @@ def _near(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, CELLS).astype(np.int32) for c in ("sa", "sb"))
+            apart = np.array([sketch_distance(x, y) for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True)], np.int64)
             total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-            near = np.abs(x - y).sum(axis=1) <= total * (100 - threshold) // (100 + threshold)
+            near = apart <= total * (100 - threshold) // (100 + threshold)
             yield batch.select(["a", "b"]).filter(pa.array(near))
 
     one = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
@@ -346,9 +371,8 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
-def _family_links(df: DataFrame, words: int, members: DataFrame, nodes: DataFrame, links: DataFrame, threshold: int) -> DataFrame:
-    """Links within long runs that the pairs with their first members have not shown."""
-    labels = connected_components(links)
+def _family_links(df: DataFrame, words: int, members: DataFrame, nodes: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
+    """Links within long runs that the pairs listed before have not shown."""
     tagged = members.join(labels, members["node"] == labels["node"], "left").select("signature", members["node"], F.coalesce("component", members["node"]).alias("label"))
     tagged = settle(tagged, "members")
     mixed = tagged.groupBy("signature").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("head")).where("low < high")
@@ -400,13 +424,24 @@ def ngram_join(df: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     nodes = settle(docs.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
 
     runs = settle(_runs(_signed(texts, words, frequent, threshold), threshold), "runs")
-    pairs = runs.where("signature is null").select("a", "b").distinct()
-    near = settle(_near(pairs, nodes, threshold), "near")
-    ends = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node")))
-    links = settle(_verified(near, _sets(texts, words, ends), threshold), "links")
-    members = runs.where("signature is not null").select("signature", F.col("a").alias("node"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        near = settle(_near(pairs, nodes, threshold), "near")
+        ends = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node")))
+        return settle(_verified(near, _sets(texts, words, ends), threshold), "links")
+
+    links = linked(runs.where(F.col("kind") == FIRST).select("a", "b").distinct())
+    labels = settle(connected_components(links), "labels")
+    others = runs.where(F.col("kind") == OTHER).select("a", "b").distinct()
+    for end in ("a", "b"):
+        named = labels.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+        others = others.join(named, end, "left")
+    apart = F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
+    links = links.unionByName(linked(others.where(apart).select("a", "b")))
+    members = runs.where(F.col("kind") == MEMBER).select(F.col("a").alias("signature"), F.col("b").alias("node"))
     if not members.isEmpty():
-        links = settle(links.unionByName(_family_links(texts, words, members, nodes, links, threshold)), "links")
+        labels = settle(connected_components(links), "labels")
+        links = links.unionByName(settle(_family_links(texts, words, members, nodes, labels, threshold), "links"))
 
     # Rows with one id and different texts tie their sets together, as the id does.
     shared = docs.where("node is not null and id is not null").groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b")

@@ -89,11 +89,11 @@ def test_similar_sets_share_a_signature():
 
 def test_sketches_never_rule_out_a_link():
     rnd = np.random.default_rng(9)
-    for _ in range(200):
-        a = rnd.integers(0, 2**63, 300, dtype=np.uint64)
-        b = np.concatenate([a[: rnd.integers(150, 300)], rnd.integers(0, 2**63, rnd.integers(0, 100), dtype=np.uint64)])
-        x, y = (np.frombuffer(nj.sketch(s), "<u2").astype(int) for s in (a, b))
-        assert np.abs(x - y).sum() <= len(np.setxor1d(a, b))
+    for size in (3, 60, 255, 257, 1020, 1030, 5000):
+        for _ in range(30):
+            a = rnd.integers(0, 2**63, size, dtype=np.uint64)
+            b = np.concatenate([a[: rnd.integers(size // 2, size + 1)], rnd.integers(0, 2**63, rnd.integers(0, size), dtype=np.uint64)])
+            assert nj.sketch_distance(nj.sketch(a), nj.sketch(b)) <= len(np.setxor1d(a, b))
 
 
 def test_shingles_equal_words():
