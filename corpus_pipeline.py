@@ -14,14 +14,22 @@ from gaugeworks.llm.queries import WORD_BPE, ship
 from gaugeworks.session import settle
 
 
+#: Rows that go, up to which their list goes to all tasks: 8 bytes each.
+SHORT = 1_000_000
+
+
 def _rows_kept(docs: DataFrame, decide) -> DataFrame:
     """The rows of ``docs`` for which ``decide`` keeps the row: it gets (row, text and evidence) and returns kept row names.
 
-    Rows are named by their place, so that repeated ids are decided one by one.
+    Rows are named by their place, so that repeated ids are decided one by one. The list
+    of rows that go is sent to all tasks while it is short, so that no text is shuffled;
+    a longer one is joined by a shuffle.
     """
     named = docs.withColumn("__row", F.monotonically_increasing_id())
     kept = settle(decide(named).select("__row"), "kept")
-    return named.join(kept, "__row", "left_semi").select(*docs.columns)
+    gone = settle(named.select("__row").join(kept, "__row", "left_anti"), "gone")
+    short = gone.count() <= SHORT
+    return named.join(F.broadcast(gone) if short else gone, "__row", "left_anti").select(*docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
