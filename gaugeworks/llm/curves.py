@@ -4,17 +4,20 @@ Vectors are lifted by one component to equal length, so that the largest inner p
 is the least distance. Each of several curves projects them at random to a few
 dimensions, shifts and quantizes them and orders them along a Hilbert curve. Orderings
 are range-partitioned and sorted by Spark; ranks cut each into windows of ``window``
-rows. A query meets the window it falls into and both neighbours, so at least ``window``
-rows on either side on each curve; hits are rescored in double precision on the
-original vectors, and the best of all curves are kept.
+rows, or of one part in ``parts`` of the entries where that is more, so that what a query
+meets follows the table. A query meets the window it falls into and both neighbours, so
+at least a window of rows on either side on each curve; hits are rescored in double
+precision on the original vectors, and the best of all curves are kept. A wide window is
+met in blocks of ``block`` of its rows, each with one block of the queries, which bounds
+what a task holds.
 
 Equal vectors are one entry of the index. Of an entry no more ids are kept than a result
 can hold, so copies of one vector neither fill windows nor make rows.
 
-The index holds every row. With the defaults, recall of the 20 nearest on 51,000
-vectors without any structure (64 independent dimensions) is above 0.95; it falls slowly
-with more such vectors, since the windows stay as wide, and is higher for vectors that
-have structure.
+The index holds every row. Vectors without any structure (64 independent dimensions) are
+the hardest; recall on such tables is in the README. Windows that follow the table make
+the number of scores grow with its square, as such vectors need; what is shuffled grows
+with its rows while a window is one block.
 
 Defined results: vectors that are null, zero, of another length than most, or that hold
 a null or a component that is not finite take no part, nor do rows with a null id; of
@@ -38,7 +41,10 @@ from gaugeworks.session import settle
 CURVES = 24
 DIMENSIONS = 16
 BITS = 3
-WINDOW = 1024
+#: Rows of a window: at least ``WINDOW``, and one part in ``PARTS`` of the entries.
+WINDOW, PARTS = 1024, 50
+#: Rows of a window that one task holds at a time, and scores that it holds.
+BLOCK, SCORES = 32_768, 4_000_000
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -88,21 +94,21 @@ def _entries(rows: DataFrame, k: int) -> DataFrame:
     return first.join(least, ["h1", "h2"]).select("id", "vector", "entry", "rn", "h1", "h2")
 
 
-def _moments(index: DataFrame) -> tuple[np.ndarray, float, float]:
-    """Mean vector, deviation of a component about it, and greatest length: one row per component."""
+def _moments(index: DataFrame) -> tuple[int, np.ndarray, float, float]:
+    """Entries, mean of the lifted vector, deviation of a component about it, and greatest length."""
     by = index.select(F.posexplode("vector").alias("i", "x")).groupBy("i").agg(F.avg(F.col("x").cast("double")).alias("m"), F.var_pop(F.col("x").cast("double")).alias("v"))
-    rows = by.orderBy("i").collect()
+    rows = by.orderBy("i").collect()  # one row per component
     squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    longest = index.agg(F.max(squares)).first()[0] or 0.0
-    mean = np.array([r["m"] for r in rows])
-    return mean, float(np.sqrt(max(np.mean([r["v"] for r in rows]), 1e-300))) if rows else 1.0, float(np.sqrt(longest))
+    n, most = index.agg(F.count("*"), F.max(squares)).first()
+    lifted = index.agg(F.avg(F.sqrt(F.greatest(F.lit(most or 0.0) - squares, F.lit(0.0))))).first()[0] or 0.0
+    mean = np.array([r["m"] for r in rows] + [lifted] * bool(rows))
+    return n, mean, float(np.sqrt(max(np.mean([r["v"] for r in rows]), 1e-300))) if rows else 1.0, float(np.sqrt(most or 0.0))
 
 
 def _keys(index: DataFrame, mean: np.ndarray, spread: float, longest: float, curves: int, dimensions: int, bits: int) -> DataFrame:
     """(curve, key, entry, asks) of every entry, and of every entry that is asked for as a query."""
-    d = len(mean)
+    d = len(mean) - 1
     dims = min(dimensions, d + 1)
-    low_mean = np.append(mean, 0.0)
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches, 8192):
@@ -110,8 +116,8 @@ def _keys(index: DataFrame, mean: np.ndarray, spread: float, longest: float, cur
             asked = batch.column("asked").to_numpy(zero_copy_only=False)
             entry = batch.column("entry").to_numpy()
             length = np.linalg.norm(x, axis=1)
-            items = np.c_[x, np.sqrt(np.maximum(longest**2 - length**2, 0))] - low_mean
-            queries = np.c_[x[asked] * (longest / length[asked])[:, None], np.zeros(int(asked.sum()))] - low_mean
+            items = np.c_[x, np.sqrt(np.maximum(longest**2 - length**2, 0))] - mean
+            queries = np.c_[x[asked] * (longest / length[asked])[:, None], np.zeros(int(asked.sum()))] - mean
             for c in range(curves):
                 random = np.random.default_rng(1_000 + c)
                 axes = np.linalg.qr(random.normal(size=(d + 1, dims)))[0]
@@ -125,8 +131,8 @@ def _keys(index: DataFrame, mean: np.ndarray, spread: float, longest: float, cur
     return index.mapInArrow(key, "curve int, key long, entry long, asks boolean")
 
 
-def _windows(keys: DataFrame, window: int) -> DataFrame:
-    """(curve, entry, asks, win): the window of every row by its rank on its curve."""
+def _windows(keys: DataFrame, window: int, block: int) -> DataFrame:
+    """(curve, entry, asks, win, part): the window of every row by its rank on its curve, and its block there."""
     order = ["curve", "key", "entry", "asks"]
     at = settle(keys.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "curves")
     part = F.shiftright("at", 33)
@@ -135,12 +141,13 @@ def _windows(keys: DataFrame, window: int) -> DataFrame:
     starts = settle(counts.select("part", "curve", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), "curves")
     ranked = at.withColumn("part", part).join(starts, ["part", "curve"])
     rank = F.col("at") - F.col("first") + F.col("before")
-    return ranked.select("curve", "entry", "asks", F.floor(rank / F.lit(window)).cast("long").alias("win"))
+    return ranked.select("curve", "entry", "asks", F.floor(rank / F.lit(window)).cast("long").alias("win"), F.floor(rank % F.lit(window) / F.lit(block)).cast("int").alias("part"))
 
 
 def nearest(
     df: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding",
     curves: int = CURVES, dimensions: int = DIMENSIONS, bits: int = BITS, window: int = WINDOW,
+    parts: int = PARTS, block: int = BLOCK,
 ) -> DataFrame:
     """(query_id, rank, id, score): the nearest found of every row where ``is_query`` holds, itself left out."""
     rows = _usable(df, is_query, id_column, vector_column)
@@ -151,13 +158,36 @@ def nearest(
     asked = queries.select("entry").distinct().withColumn("hit", F.lit(True))
     index = entries.where("rn = 1").select("entry", "vector").join(asked, "entry", "left")
     index = settle(index.select("entry", "vector", F.coalesce("hit", F.lit(False)).alias("asked")), "index")
-    mean, spread, longest = _moments(index)
+    n, mean, spread, longest = _moments(index)
     if not len(mean):
         return queries.select("query_id", F.lit(1).alias("rank"), F.col("entry").alias(id_column), F.lit(0.0).alias("score")).limit(0)
 
-    placed = _windows(_keys(index, mean, spread, longest, curves, dimensions, bits), window)
+    window = max(window, -(-n // parts))
+    placed = _windows(_keys(index, mean, spread, longest, curves, dimensions, bits), window, block)
     near = F.when(F.col("asks"), F.array(F.col("win") - 1, F.col("win"), F.col("win") + 1)).otherwise(F.array("win"))
-    dealt = placed.join(index.select("entry", "vector"), "entry").select("curve", F.explode(near).alias("win"), "entry", "asks", "vector")
+    dealt = placed.join(index.select("entry", "vector"), "entry").select("curve", F.explode(near).alias("win"), "part", "entry", "asks", "vector")
+    # Each block of a window's rows meets each block of the queries.
+    blocks = -(-window // block)
+    if blocks > 1:
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    else:
+        dealt = dealt.withColumn("other", F.lit(0))
+    sides = [F.when(F.col("asks"), F.col(a)).otherwise(F.col(b)).alias(name) for a, b, name in (("other", "part", "of_rows"), ("part", "other", "of_queries"))]
+    dealt = dealt.select("curve", "win", *sides, "entry", "asks", "vector")
+
+    def scores(q: np.ndarray, x: np.ndarray, q_ids: np.ndarray, x_ids: np.ndarray) -> list[np.ndarray]:
+        rough = q @ x.T
+        kept = min(k + 1, len(x))
+        floor = np.partition(rough, len(x) - kept, axis=1)[:, len(x) - kept]
+        slack = 1e-9 * (1 + np.abs(rough).max())
+        i, j = np.nonzero(rough >= floor[:, None] - slack)
+        score = (q[i] * x[j]).sum(axis=1)  # the same for a pair wherever it meets
+        order = np.lexsort((x_ids[j], -score, i))
+        i, j, score = i[order], j[order], score[order]
+        start = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]]))
+        nth = np.arange(len(i)) - np.repeat(start, np.diff(np.append(start, len(i))))
+        top = nth < kept
+        return [q_ids[i[top]], x_ids[j[top]], score[top]]
 
     def best(frame: pd.DataFrame) -> pd.DataFrame:
         asks = frame["asks"].to_numpy(bool)
@@ -166,22 +196,13 @@ def nearest(
         q, x, q_ids, x_ids = vectors[asks], vectors[~asks], ids[asks], ids[~asks]
         found = []
         if len(q) and len(x):
-            rough = q @ x.T
-            kept = min(k + 1, len(x))
-            floor = np.partition(rough, len(x) - kept, axis=1)[:, len(x) - kept]
-            slack = 1e-9 * (1 + np.abs(rough).max())
-            i, j = np.nonzero(rough >= floor[:, None] - slack)
-            score = (q[i] * x[j]).sum(axis=1)  # the same for a pair wherever it meets
-            order = np.lexsort((x_ids[j], -score, i))
-            i, j, score = i[order], j[order], score[order]
-            start = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]]))
-            nth = np.arange(len(i)) - np.repeat(start, np.diff(np.append(start, len(i))))
-            top = nth < kept
-            found = [q_ids[i[top]], x_ids[j[top]], score[top]]
+            step = max(1, SCORES // len(x))
+            pieces = [scores(q[i : i + step], x, q_ids[i : i + step], x_ids) for i in range(0, len(q), step)]
+            found = [np.concatenate(c) for c in zip(*pieces, strict=True)]
         columns = found or [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
         return pd.DataFrame(dict(zip(("query", "hit", "score"), columns, strict=True)))
 
-    hits = dealt.groupBy("curve", "win").applyInPandas(best, "query long, hit long, score double")
+    hits = dealt.groupBy("curve", "win", "of_rows", "of_queries").applyInPandas(best, "query long, hit long, score double")
     hits = hits.groupBy("query", "hit").agg(F.max("score").alias("score"))
     by_entry = Window.partitionBy("query").orderBy(F.desc("score"), "hit")
     hits = hits.withColumn("rn", F.row_number().over(by_entry)).where(F.col("rn") <= k + 1).drop("rn")

@@ -63,6 +63,19 @@ def test_recall(spark, odd):
     assert recall >= 0.9
 
 
+@pytest.mark.parametrize("block", [curves.BLOCK, 50])
+def test_candidates_follow_the_table(spark, odd, block):
+    """Vectors of one length without structure, many times more than the least windows of all curves hold."""
+    rnd = np.random.default_rng(6)
+    x = rnd.normal(size=(6000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    vectors = [(i, v) for i, v in enumerate(x.astype(np.float32).tolist())]
+    found = _found(curves.nearest(_df(spark, vectors), F.col("vec_id") % 200 == 0, window=8, block=block).collect())
+    wanted = _brute(vectors, range(0, 6000, 200), 20)
+    recall = np.mean([len({i for i, _ in found[q]} & {i for i, _ in wanted[q]}) / 20 for q in wanted])
+    assert recall >= 0.9
+
+
 def test_hilbert_keys_visit_neighbours():
     for dims, bits in ((2, 3), (3, 2), (4, 2)):
         cells = np.array(np.meshgrid(*[range(1 << bits)] * dims)).reshape(dims, -1).T
