@@ -29,8 +29,8 @@ from gaugeworks.llm.tables import rows_of
 from gaugeworks.session import settle
 
 UNKNOWN = "und"
-#: Labelled documents per language, those with the smallest hash, and languages, the most frequent ones.
-SAMPLE, LANGUAGES = 1_000, 32
+#: Labelled documents per language, those with the smallest hash.
+SAMPLE = 1_000
 BUCKETS = 8192
 EVIDENCE = 150
 #: Rows that a parent's shares weigh in a domain's or host's prior.
@@ -61,15 +61,15 @@ class TextModel:
         return logs - logs.max()
 
 
-def fit_text(labelled: DataFrame, sample: int = SAMPLE, most: int = LANGUAGES) -> TextModel:
-    """Triple frequencies per language from (text, lang). Sums of each language are made in Spark."""
+def fit_text(labelled: DataFrame, sample: int = SAMPLE) -> TextModel:
+    """Triple frequencies per language from (text, lang), of every language. Sums of each language are made in Spark."""
     rows = labelled.select("text", "lang").where("text is not null and lang is not null")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most).collect()
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()  # one row per language
     languages = sorted(r["lang"] for r in counts)
     # The bound of each language's hashes below which about ``sample`` of its documents lie.
     mark = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
     share = {r["lang"]: min(1_000_000, 1_000_000 * sample // r["n"] + 1) for r in counts}
-    limit = F.coalesce(*(F.when(F.col("lang") == name, F.lit(x)) for name, x in share.items()), F.lit(0)) if share else F.lit(0)
+    limit = F.element_at(F.create_map(*(F.lit(x) for pair in share.items() for x in pair)), F.col("lang")) if share else F.lit(0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -79,12 +79,15 @@ def fit_text(labelled: DataFrame, sample: int = SAMPLE, most: int = LANGUAGES) -
                 sums[lang] = sums.get(lang, 0) + own / max(own.sum(), 1)
         names = ["lang", "bucket", "n"]
         for lang, own in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * BUCKETS), pa.array(np.arange(BUCKETS)), pa.array(own.astype(float))], names=names)
+            met = np.flatnonzero(own)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(met), pa.string()), pa.array(met), pa.array(own[met].astype(float))], names=names)
 
     summed = rows.where(mark < limit).mapInArrow(count, "lang string, bucket long, n double").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     table = np.zeros((len(languages) + 1, BUCKETS))
-    for lang, bucket, n in summed.collect():  # languages times buckets
-        table[languages.index(lang), bucket] = round(n, 9)
+    place = {lang: i for i, lang in enumerate(languages)}
+    sums = summed.toArrow()  # languages times buckets at most, in columns
+    at = [place[lang] for lang in sums.column("lang").to_pylist()]
+    table[np.array(at, np.int64), sums.column("bucket").to_numpy()] = np.round(sums.column("n").to_numpy(), 9)
     table[-1] = 1.0
     shares = table / np.maximum(table.sum(axis=1, keepdims=True), 1e-12)
     return TextModel((*languages, UNKNOWN), np.log(0.95 * shares + 0.05 / BUCKETS))

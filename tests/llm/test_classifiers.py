@@ -5,6 +5,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from gaugeworks.llm import language, quality
 from gaugeworks.llm.queries import QUERIES
 
@@ -73,6 +74,23 @@ def test_evidence_decides_where_text_is_silent(spark, odd):
     assert language.identify(_evidence(spark, []), model).count() == 0
 
 
+def test_every_labelled_language_has_a_model(spark, odd):
+    """Forty languages, the last ones with the fewest documents, and the pipeline's stage over them."""
+    rnd = np.random.default_rng(8)
+    training = []
+    for i in range(40):
+        words = ["".join(rnd.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(20)]
+        name = chr(97 + i // 26) + chr(97 + i % 26)
+        training += [(j, " ".join(rnd.choice(words, 25)), name, "s") for j in range(50 - i)]
+    docs = spark.createDataFrame(training, "doc_id long, text string, lang string, source string")
+    model = language.fit_text(docs)
+    assert len(model.languages) == 41
+    rows = [(i, text, None, None, None, None, "", 0.0) for i, (_, text, _, _) in enumerate(training)]
+    found = {r["id"]: r["lang"] for r in language.identify(_evidence(spark, rows), model).collect()}
+    assert [found[i] for i in range(len(training))] == [t[2] for t in training]
+    assert corpus_pipeline.language_stage(spark, docs, "").count() == len(training)
+
+
 def test_no_labelled_documents(spark, odd):
     model = language.fit_text(spark.createDataFrame([], "text string, lang string"))
     rows = [(1, "some text", "en", None, None, None, "", 0.0)]
