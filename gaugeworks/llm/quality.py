@@ -45,6 +45,9 @@ FREQUENT_WORDS = (
 _FREQUENT = np.unique(np.concatenate(word_hashes(FREQUENT_WORDS)))
 GOOD, NONE, BAD = 1, 0, -1
 
+#: First and last characters of scripts that set no blanks between words: South-East Asian, Chinese and Japanese ones.
+_UNSPACED = np.array([(0x0E00, 0x109F), (0x1780, 0x17FF), (0x1950, 0x1AAF), (0x1B00, 0x1B7F), (0x2E80, 0xA4CF), (0xA980, 0xA9DF), (0xF900, 0xFAFF), (0xFF00, 0xFFEF), (0x20000, 0x3FFFF)])
+
 #: Kinds of bytes: 0 space, 1 line end, 2 lower, 3 upper, 4 digit, 5 sentence sign, 6 to 15 other signs.
 _KIND = np.array(
     [
@@ -71,15 +74,27 @@ def _vote(value: float, good: tuple[float, float], bad: tuple[float, float]) ->
     return GOOD if good[0] <= value <= good[1] else BAD if bad[0] <= value <= bad[1] else NONE
 
 
+def _unspaced(text: str, raw: np.ndarray) -> bool:
+    """Whether a third of the characters or more are of scripts without blanks between words."""
+    if raw.max(initial=0) < 0xE0:  # these take three bytes or more
+        return False
+    place = np.searchsorted((_UNSPACED + (0, 1)).ravel(), np.frombuffer(text.encode("utf-32-le"), np.uint32), side="right")
+    return bool(3 * (place % 2).sum() >= len(text))
+
+
 def votes(text: str, words: np.ndarray) -> list[int]:
     """One vote per labeller for a text and the hashes of its words.
 
     Labellers that look for one kind of defect say nothing where they do not find it.
+    Frequent words are a sign of good form; a text without them may be in a language
+    that the list does not cover. Word lengths are in characters, and say nothing in
+    scripts without blanks.
     """
     n = len(words)
     raw = np.frombuffer(text.encode("utf-8"), np.uint8)
     kinds = np.bincount(_KIND[raw], minlength=16)
     letters, ink = kinds[2] + kinds[3], max(1, len(raw) - kinds[0] - kinds[1])
+    characters = ink - int(((raw & 0xC0) == 0x80).sum())
     lines = [x.strip() for x in text.split("\n") if x.strip()]
     distinct, count = np.unique(words, return_counts=True)
     often = np.isin(distinct, _FREQUENT)
@@ -95,8 +110,8 @@ def votes(text: str, words: np.ndarray) -> list[int]:
         _vote(text.count("!") / max(n, 1), NEVER, (0.5, 99)) if long_enough else NONE,
         _vote(text.count("|") / max(n, 1), NEVER, (0.2, 99)) if long_enough else NONE,
         _vote(letters / ink, (0.9, 1), (0, 0.55)) if long_enough else NONE,
-        _vote(ink / max(n, 1), (3, 11), (16, 1e9)) if long_enough else NONE,
-        _vote(count[often].sum() / max(n, 1), (0.12, 1), (0, 0.015)) if n >= 30 else NONE,
+        _vote(characters / max(n, 1), (3, 11), (16, 1e9)) if long_enough and not _unspaced(text, raw) else NONE,
+        _vote(count[often].sum() / max(n, 1), (0.12, 1), NEVER) if n >= 30 else NONE,
         _vote(1 - len(set(lines)) / max(len(lines), 1), NEVER, (0.4, 1)) if len(lines) >= 4 else NONE,
     ]
 
@@ -114,8 +129,8 @@ def features(text: str, words: np.ndarray) -> np.ndarray:
     return np.sqrt(np.concatenate([shape, word]))
 
 
-#: Bounds of the odds that one vote may carry. A defect found says more than any one sign of good form.
-BAD_ODDS, GOOD_ODDS = (20.0, 200.0), (1.2, 4.0)
+#: Bounds of the odds that one vote may carry: no vote counts against its name, and none decides alone for ever.
+BAD_ODDS, GOOD_ODDS = (1.0, 200.0), (1.0, 200.0)
 
 
 @dataclass(frozen=True)

@@ -44,6 +44,48 @@ def test_quality_of_odd_rows(odd, empty):
     assert quality.quality(empty).count() == 0
 
 
+CLEAN = {
+    "en": "the river of stone and a house in the garden that was built for many people with great care from old wood by hand",
+    "pl": "rzeka płynie przez miasto gdzie ludzie mieszkają spokojnie oraz pracują każdego dnia wśród zielonych drzew pod niebem",
+    "fi": "joki virtaa kaupungin läpi missä ihmiset asuvat rauhassa ja tekevät työtä joka päivä vihreiden puiden alla yhdessä",
+    "ru": "река течёт через город где люди живут спокойно и работают каждый день среди зелёных деревьев под высоким небом",
+    "hi": "नदी शहर के बीच से बहती है जहाँ लोग शांति से रहते हैं और हर दिन पेड़ों के नीचे काम करते हैं",
+    "zh": "这条河流穿过古老的城市，人们在这里安静地生活。 每天早上大家都在绿色的树下工作和学习， 晚上回到家里和家人一起吃饭聊天。 孩子们在学校里学习新的知识和技能，",
+    "ja": "この川は古い街を流れていて、人々は静かに暮らしています。 毎朝みんな緑の木の下で働いて勉強します、 夜は家に帰って家族と一緒に食事をします。",
+    "th": "แม่น้ำไหลผ่านเมืองเก่าที่ผู้คนอาศัยอยู่อย่างสงบสุข ทุกเช้าทุกคนทำงานและเรียนหนังสือใต้ต้นไม้สีเขียว ตอนเย็นกลับบ้านไปกินข้าวกับครอบครัว",
+}
+
+
+def _clean_texts(rnd, count):
+    for words in CLEAN.values():
+        for _ in range(count):
+            yield ". ".join(" ".join(rnd.permutation(words.split())).capitalize() for _ in range(5)) + "."
+
+
+def test_clean_texts_in_other_languages(spark, odd):
+    rnd = np.random.default_rng(9)
+    clean = list(_clean_texts(rnd, 25))
+    for text, words in zip(clean, quality.word_hashes(clean), strict=True):
+        assert min(quality.votes(text, words)) == quality.NONE
+    junk = [" ".join(rnd.choice(["BUY", "NOW!!!", "|", "$$$", "@@", "click", "|"], 60)) for _ in range(20)] + ["spam " * (40 + i) for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(clean + junk)), "doc_id long, text string")
+    found = {r["doc_id"]: r["keep"] for r in quality.quality(docs).collect()}
+    assert all(found[i] for i in range(len(clean)))
+    assert not any(found[len(clean) + i] for i in range(len(junk)))
+
+
+def test_odds_follow_the_counts():
+    """A bad vote that good documents get as often as bad ones does not outweigh their signs of good form."""
+    rnd = np.random.default_rng(5)
+    good = rnd.random(20_000) < 0.85
+    columns = [-(rnd.random(len(good)) < np.where(good, wrong, right)).astype(int) for right, wrong in ((0.2, 0.2), (0.2, 0.2), (0.8, 0.002), (0.7, 0.003))]
+    columns += [(rnd.random(len(good)) < np.where(good, 0.95, 0.1)).astype(int) for _ in range(2)]
+    votes = np.stack(columns, axis=1)
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    model = quality.fit_labels(patterns, counts)
+    assert ((model.posterior(votes) > 0.5) == good).mean() > 0.97
+
+
 @needs_tables
 def test_language_of_pages(spark):
     """Pages are written in the language that their path names."""
