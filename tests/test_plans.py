@@ -8,11 +8,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from gaugeworks.operators import audit, dedupe, joins, load, rejects, stats
 from gaugeworks.operators.features import group_deviation, group_profile
 from gaugeworks.operators.validate import tag_records
 from gaugeworks.plans import testtables as data
+from gaugeworks.plans.workload import QUERIES
 from gaugeworks.session import shuffle_width
 from gaugeworks.sources.files import scan_source
 from gaugeworks.sources.spec import SourceSpec
@@ -30,9 +30,9 @@ def plan(df, mode="formatted"):
 
 
 @needs_tables
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cross_join(spark, name):
-    text = plan(queries()[name](spark, FOLDER))
+    text = plan(QUERIES[name](spark, FOLDER))
     for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "Pandas"):
         assert operator not in text
 
