@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import bpe, chat, counts, curves, language, ngram_join, packing, quality, sharding, simhash
+from gaugeworks.llm import bpe, chat, counts, curves, language, manifest, ngram_join, oracle, packing, quality, sharding, simhash
 from gaugeworks.llm.tables import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -77,6 +77,19 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "page_id")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    values = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    tampered = [*values[:3], F.col("n_chars") + 1, values[4]]
+    hit = (F.crc32(F.col("doc_id").cast("string")) % 7 == 0) & F.col("n_chars").isNotNull()
+    leaf = manifest.leaf_digest(*values)
+    told = F.when(hit, manifest.leaf_digest(*tampered)).otherwise(F.col("leaf")).alias("told")
+    leaves = docs.withColumn("leaf", leaf).select("doc_id", "lang", "leaf", told)
+    proofs = manifest.build(leaves, F.col("lang"), ["doc_id"], ["doc_id", "leaf", "told"]).proofs()
+    rows = proofs.select("held.*", "subroot", "root", manifest.path_digest(F.col("path")).alias("proof_sha256"), manifest.folded(F.col("path"), F.col("held.told")).alias("folded_root"))
+    return rows.drop("told").withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def _with_workers(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -98,8 +111,9 @@ QUERIES = {
         op8_best_fit_packing,
         op9_simhash,
         op10_language,
+        op11_merkle_manifest,
     )
 }
 
-#: Tokenizers, templates and packings are not SQL: these are tested against brute force in tests/llm.
-ORACLE: dict[str, str] = {}
+#: Tokenizers, templates, packings and models are not SQL: those are tested against brute force in tests/llm.
+ORACLE: dict[str, str] = {"op11_merkle_manifest": oracle.MERKLE}

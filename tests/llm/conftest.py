@@ -1,5 +1,8 @@
 """Small tables with every odd case: nulls, empty and long texts, ties, repeated rows, clashing column names."""
 
+from pathlib import Path
+
+import duckdb
 import public_tokenizers
 import pytest
 
@@ -39,3 +42,18 @@ def odd(spark):
 def empty(spark):
     ship(spark)
     return spark.createDataFrame([], SCHEMA)
+
+
+def same_as_sql(spark, query, sql, folder="/root/testdata/sf0.001"):
+    """The query's rows over the test tables are those of its SQL."""
+    if not Path(folder).exists():
+        pytest.skip("test tables not present")
+    duck = duckdb.connect()
+    for file in Path(folder).glob("*.parquet"):
+        duck.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    want = duck.execute(sql)
+    names = sorted(c[0] for c in want.description)
+    found = query(spark, folder)
+    assert sorted(found.columns) == names
+    rows = lambda columns, got: sorted(repr([dict(zip(columns, r, strict=True))[n] for n in names]) for r in got)
+    assert rows(found.columns, map(tuple, found.collect())) == rows([c[0] for c in want.description], want.fetchall())
