@@ -219,6 +219,7 @@ def build(df: DataFrame, part: Column, order: list[str], held: list[str]) -> Man
     """
     keep = F.struct(*held).alias("held")
     leaves = df.select(_part_key(part).alias("part"), *(F.col(c).alias(f"__order{i}") for i, c in enumerate(order)), F.col("leaf").alias("digest"), keep)
+    leaves = settle(leaves, "leaves")  # else the texts are read twice, once to find the ranges
     rows = ranked(leaves, "part", [*(f"__order{i}" for i in range(len(order))), "digest"])
     trees = _build(rows.select("part", "n", "lo", "digest", "held"))
     tops = trees.roots.select(F.lit("").alias("part"), F.col("part").alias("name"), "digest")
