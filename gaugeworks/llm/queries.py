@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import bpe, chat, counts, curves, language, manifest, ngram_join, oracle, packing, quality, sharding, simhash
+from gaugeworks.llm import bpe, chat, counts, curves, language, manifest, ngram_join, oracle, packing, quality, sharding, simhash, warc
 from gaugeworks.llm.tables import table
+from gaugeworks.session import scratch_path, settle
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -90,6 +91,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("told").withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    records = settle(warc.read_archives(spark, path, payloads=False), "records")
+    return warc.resolved(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def _with_workers(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -112,8 +120,9 @@ QUERIES = {
         op9_simhash,
         op10_language,
         op11_merkle_manifest,
+        op12_warc_revisits,
     )
 }
 
 #: Tokenizers, templates, packings and models are not SQL: those are tested against brute force in tests/llm.
-ORACLE: dict[str, str] = {"op11_merkle_manifest": oracle.MERKLE}
+ORACLE: dict[str, str] = {"op11_merkle_manifest": oracle.MERKLE, "op12_warc_revisits": oracle.WARC}
