@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import bpe, chat, counts, curves, language, manifest, ngram_join, oracle, packing, quality, sharding, simhash, warc
+from gaugeworks.llm import bpe, chat, counts, curves, language, manifest, ngram_join, oracle, packing, quality, runs, sharding, simhash, warc
 from gaugeworks.llm.tables import table
 from gaugeworks.session import scratch_path, settle
 
@@ -98,6 +98,30 @@ def op12_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolved(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.collapse(_with_repeats(docs))
+    best = runs.strongest(F.col("runs")).alias("best")
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    told = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best, F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    exponent = F.expr("1000 * best.length div best.period").alias("exponent_milli")
+    return told.select("doc_id", "n_runs", "best.start", "best.length", "best.period", exponent, "runs_sha256", "collapsed_sha256")
+
+
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """``docs``, a tenth of them, by a hash of the id, with words that repeat from some place on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10).cast("long")
+    split = F.array_remove(F.split("text", r"[ \t\n\x0B\f\r]+"), "")
+    words = docs.withColumn("g", g).withColumn("words", F.when(h % 10 == 0, split)).withColumn("n", F.size("words").cast("long"))
+    # Of other texts, and of those without words, size and place do not count.
+    placed = words.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    placed = placed.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    a, p = F.col("a"), F.col("p")
+    repeated = F.transform("words", lambda word, i: F.when(i < a, word).otherwise(F.get("words", (a + (i - a) % p).cast("int"))))
+    return placed.select("doc_id", F.when(a.isNotNull(), F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
 def _with_workers(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -121,6 +145,7 @@ QUERIES = {
         op10_language,
         op11_merkle_manifest,
         op12_warc_revisits,
+        op13_periodic_runs,
     )
 }
 
