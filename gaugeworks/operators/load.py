@@ -44,13 +44,14 @@ def fact_projection(df: DataFrame, run_id: str, keep: list[str] | None = None) -
 
 def new_rows(
     batch: DataFrame,
-    existing: DataFrame,
+    existing: DataFrame | None,
     key: str,
     order: list[str],
     key_range: tuple[object, object] | None = None,
     batch_rows: int | None = None,
+    indexed: DataFrame | None = None,
 ) -> DataFrame:
-    """First row per key of the batch whose key is not in ``existing``.
+    """First row per key of the batch whose key is neither in ``existing`` nor in ``indexed``.
 
     Only the key column of ``existing`` is read. ``key_range``, the least and
     greatest key of the batch when the caller knows them, lets the scan skip row
@@ -58,11 +59,22 @@ def new_rows(
     of the stored keys only those that the batch has are shuffled, however many are
     stored; a larger batch is joined with all in its range. Window and anti-join share
     one shuffle of the batch on the key.
+
+    ``indexed`` are keys read from a :class:`~gaugeworks.sources.keyindex.KeyIndex`. They
+    are not shuffled, however large the batch is, when the action runs inside the index's
+    ``as_wide``: the batch is then dealt out by the buckets they lie in.
     """
     first = dedupe_first(batch, [key], order)
-    taken = existing.select(key)
-    if key_range is not None and None not in key_range:
-        taken = taken.filter(F.col(key).between(*key_range))
+
+    def near(stored: DataFrame) -> DataFrame:
+        inside = key_range is not None and None not in key_range
+        return stored.select(key).filter(F.col(key).between(*key_range)) if inside else stored.select(key)
+
+    if indexed is not None:
+        first = first.join(near(indexed), key, "left_anti")
+    if existing is None:
+        return first.drop(*order)
+    taken = near(existing)
     if batch_rows is not None and batch_rows <= FEW_ROWS:
         taken = taken.join(F.broadcast(batch.select(key).distinct()), key, "left_semi")
     return first.join(taken, key, "left_anti").drop(*order)

@@ -45,6 +45,7 @@ def latest_runs(events: DataFrame) -> DataFrame:
 
 
 def visible_attempts(events: DataFrame) -> DataFrame:
-    """Run and attempt of each run's latest success, whatever happened to the run later."""
+    """Run and attempt of each run's latest success, whatever happened to the run later, and the buckets of its keys."""
     done = events.filter(F.col("status") == SUCCESS)
-    return done.groupBy("run_id").agg(F.max_by("attempt", "event_timestamp").alias("attempt"))
+    latest = done.groupBy("run_id").agg(F.max_by(F.struct("attempt", "key_buckets"), "event_timestamp").alias("last"))
+    return latest.select("run_id", "last.attempt", "last.key_buckets")

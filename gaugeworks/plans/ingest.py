@@ -20,6 +20,7 @@ from gaugeworks.operators.validate import REASON, rejected_rows, tag_records, va
 from gaugeworks.schemas import FILE_ORDER
 from gaugeworks.session import shuffle_width
 from gaugeworks.sources.files import scan_source
+from gaugeworks.sources.keyindex import index_width, stored_keys, write_attempt_keys
 from gaugeworks.sources.spec import SourceSpec
 from gaugeworks.sources.tables import append_run_event, check_run_id, read_run_events, read_table, write_run_rows
 
@@ -63,8 +64,8 @@ def _stage(raw: DataFrame, spec: SourceSpec, path: str) -> tuple[DataFrame, dict
     return raw.sparkSession.read.schema(tagged.schema).parquet(path), seen.get
 
 
-def _load(staged: DataFrame, counts: dict, spec: SourceSpec, warehouse: str, run_id: str, attempt: str) -> int:
-    """Dimensions, then facts, then rejects; returns the number of new facts."""
+def _load(staged: DataFrame, counts: dict, spec: SourceSpec, warehouse: str, run_id: str, attempt: str, buckets: int) -> int:
+    """Dimensions, then facts and their keys, then rejects; returns the number of new facts."""
     spark = staged.sparkSession
     valid = valid_rows(staged, spec.rules)
     for table, mapping, key in (
@@ -80,13 +81,23 @@ def _load(staged: DataFrame, counts: dict, spec: SourceSpec, warehouse: str, run
     if spec.dedup_keys and FACT_KEY not in spec.dedup_keys:
         valid = dedupe_first(valid, spec.dedup_keys, FILE_ORDER)
     facts = fact_projection(valid, run_id, keep=FILE_ORDER)
-    existing = read_table(spark, warehouse, "measurements")
-    fresh = new_rows(facts, existing, FACT_KEY, FILE_ORDER, (counts["least_key"], counts["greatest_key"]), counts["valid_records"])
+    key_range = (counts["least_key"], counts["greatest_key"])
     written = Observation()
-    fresh = fresh.withColumn("load_timestamp", F.current_timestamp())
-    write_run_rows(
-        fresh.observe(written, F.count(F.lit(1)).alias("inserted")), warehouse, "measurements", run_id, attempt
-    )
+
+    def write_new(existing: DataFrame | None, indexed: DataFrame | None) -> None:
+        fresh = new_rows(facts, existing, FACT_KEY, FILE_ORDER, key_range, counts["valid_records"], indexed)
+        fresh = fresh.withColumn("load_timestamp", F.current_timestamp())
+        write_run_rows(
+            fresh.observe(written, F.count(F.lit(1)).alias("inserted")), warehouse, "measurements", run_id, attempt
+        )
+
+    if buckets:
+        stored = stored_keys(spark, warehouse, buckets)
+        with stored.index.as_wide(spark):
+            write_new(stored.others, stored.indexed)
+        write_attempt_keys(spark, warehouse, buckets, run_id, attempt)
+    else:
+        write_new(read_table(spark, warehouse, "measurements"), None)
 
     rejects = reject_rows(rejected_rows(staged), run_id, FILE_ORDER)
     write_run_rows(rejects, warehouse, "ingestion_rejects", run_id, attempt)
@@ -107,6 +118,7 @@ def run_ingest(
     run_id: str | None = None,
     force_reject: bool = False,
     source: DataFrame | None = None,
+    key_buckets: int | None = None,
 ) -> RunReport:
     """Load one source into the warehouse folder.
 
@@ -116,6 +128,11 @@ def run_ingest(
     its stored report is the answer, so neither a replay nor a failing retry can touch
     rows that others rely on. ``source`` gives the rows directly, in the form
     :func:`scan_source` returns. One load at a time may write to a warehouse.
+
+    ``key_buckets`` keeps the keys of the facts in an index of so many buckets, in which
+    the keys of a batch are looked up without a shuffle of the stored ones. None goes on
+    with the index that the warehouse has, if any; 0 neither uses nor fills it. What is
+    loaded is the same in every case.
     """
     run_id = check_run_id(run_id or uuid.uuid4().hex)
     stored = stored_report(spark, warehouse, run_id)
@@ -123,6 +140,7 @@ def run_ingest(
         log.info("load %s has succeeded before", run_id)
         return stored
     attempt = uuid.uuid4().hex
+    buckets = index_width(spark, warehouse) if key_buckets is None else key_buckets
     source_file = os.path.basename(spec.path.rstrip("/"))
     append_run_event(spark, warehouse, run_id=run_id, source_file=source_file, status=STARTED, attempt=attempt)
     totals = {"total_records": 0, "valid_records": 0, "rejected_records": 0}
@@ -135,7 +153,7 @@ def run_ingest(
         if totals["rejected_records"]:
             log_reject_summary(rejected_rows(staged))
         with shuffle_width(spark, totals["total_records"]):
-            inserted = _load(staged, counts, spec, warehouse, run_id, attempt)
+            inserted = _load(staged, counts, spec, warehouse, run_id, attempt, buckets)
     except Exception as error:
         append_run_event(
             spark,
@@ -156,5 +174,5 @@ def run_ingest(
         skipped_records=totals["valid_records"] - inserted,
         **totals,
     )
-    append_run_event(spark, warehouse, source_file=source_file, attempt=attempt, **vars(report))
+    append_run_event(spark, warehouse, source_file=source_file, attempt=attempt, key_buckets=buckets, **vars(report))
     return report

@@ -234,6 +234,11 @@ FROM tagged WHERE error_reason IS NULL
 QUALIFY row_number() OVER (PARTITION BY CAST(indicator_id AS INTEGER) ORDER BY k, c) = 1""",
     "append_new_rows": f"""WITH {_FACT}
 SELECT * REPLACE (CAST(start_date AS VARCHAR) AS start_date) FROM fact WHERE message <> 'F'""",
+    "append_indexed": f"""WITH {_FACT}
+SELECT * REPLACE (CAST(start_date AS VARCHAR) AS start_date) FROM fact WHERE message <> 'F'""",
+    "ingest_indexed": f"""WITH {_FACT}, {_GEO}
+SELECT 'fact' AS kind, CAST(unique_id AS VARCHAR) AS id, CASE WHEN unique_id % 3 = 2 THEN 1.5 ELSE data_value END AS data_value,
+  'run-' || (unique_id % 3 + 1) AS label FROM fact JOIN geographic USING (geo_join_id)""",
     "ingest_reload": f"""WITH {_FACT}, {_GEO}, early AS (SELECT * FROM fact WHERE unique_id % 2 = 0 AND indicator_id < 5)
 SELECT 'fact' AS kind, CAST(unique_id AS VARCHAR) AS id,
   CASE WHEN unique_id IN (SELECT unique_id FROM early) THEN data_value ELSE 1.5 END AS data_value,

@@ -18,6 +18,7 @@ from gaugeworks.plans.ingest import run_ingest
 from gaugeworks.schemas import FILE_NAME, SOURCE_COLUMNS
 from gaugeworks.session import scratch_path, settle
 from gaugeworks.sources.files import normalize_headers, read_source, write_csv
+from gaugeworks.sources.keyindex import KeyIndex, rebuild
 from gaugeworks.sources.spec import SourceSpec
 from gaugeworks.sources.tables import read_table
 
@@ -308,6 +309,22 @@ def append_new_rows(spark: SparkSession, folder: str) -> DataFrame:
     return fresh.withColumn("start_date", text("start_date"))
 
 
+@query
+def append_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same append as a batch too large to send its keys to all tasks, against stored keys in buckets."""
+    facts = settle(data.fact(spark, folder), "facts")
+    batch = facts.withColumn("_copy", F.lit(0)).unionByName(
+        facts.withColumns({"_copy": F.lit(1), "data_value": F.lit(0.0)})
+    )
+    index = KeyIndex(scratch_path(spark, "keys"), 8, kind="bigint")
+    for status in ("F", "O"):
+        index.write(facts.filter((F.col("message") == status) & (F.col("unique_id") % 3 > 0)), status)
+    existing = facts.filter((F.col("message") == "F") & (F.col("unique_id") % 3 == 0))
+    with index.as_wide(spark):
+        fresh = load.new_rows(batch, existing, "unique_id", ["_copy"], None, 2_000_000, index.read(spark, ["F"]))
+        return settle(fresh, "fresh").withColumn("start_date", text("start_date"))
+
+
 @query
 def ingest_measurements(spark: SparkSession, folder: str) -> DataFrame:
     """The whole load from CSV files, read back from the warehouse."""
@@ -344,7 +361,28 @@ def ingest_reload(spark: SparkSession, folder: str) -> DataFrame:
     for run, part in (("run-1", rows.filter(first)), ("run-2", later)):
         write_csv(part.select(*SOURCE_COLUMNS), f"{home}/{run}")
         run_ingest(spark, SourceSpec(path=f"{home}/{run}"), f"{home}/tables", run)
-    measured, kinds, places = (read_table(spark, f"{home}/tables", t) for t in ("measurements", "indicators", "geographic"))
+    return _loaded(spark, f"{home}/tables")
+
+
+@query
+def ingest_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """Loads without an index, after a rebuild, and with what the loads since have added to it."""
+    home = scratch_path(spark, "indexed")
+    names = data.geographic(spark, folder)
+    facts = data.fact(spark, folder).join(names, "geo_join_id").withColumn("start_date", text("start_date"))
+    rows = facts.withColumns({"name": F.concat(F.lit("kind "), "indicator_id"), "measure": F.lit("m"), "measure_info": F.lit("i")})
+    later = rows.withColumns({"data_value": F.lit(1.5), "geo_place_name": F.lit("renamed")})
+    third = F.col("unique_id") % 3
+    for run, part in (("run-1", rows.filter(third == 0)), ("run-2", rows.filter(third < 2)), ("run-3", later)):
+        write_csv(part.select(*SOURCE_COLUMNS), f"{home}/{run}")
+        run_ingest(spark, SourceSpec(path=f"{home}/{run}"), f"{home}/tables", run)
+        if run == "run-1":
+            rebuild(spark, f"{home}/tables", 8)
+    return _loaded(spark, f"{home}/tables").filter("kind = 'fact'")
+
+
+def _loaded(spark: SparkSession, warehouse: str) -> DataFrame:
+    measured, kinds, places = (read_table(spark, warehouse, t) for t in ("measurements", "indicators", "geographic"))
     return (
         measured.select(F.lit("fact").alias("kind"), text("unique_id").alias("id"), "data_value", "run_id")
         .unionByName(kinds.select(F.lit("indicator").alias("kind"), text("indicator_id").alias("id"), F.lit(None).cast("double").alias("data_value"), F.col("name").alias("run_id")))

@@ -67,6 +67,7 @@ RUN_EVENTS = _schema(
     skipped_records=_long,
     error_message=_text,
     attempt=_text,
+    key_buckets=_int,
 )
 INGESTION_RUNS = _schema(
     run_id=_text,

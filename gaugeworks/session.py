@@ -76,6 +76,17 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for a while."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def shuffle_width(spark: SparkSession, rows: int) -> Iterator[None]:
     """Plan shuffles of ``rows`` rows wide enough for a partition to fit in memory.
@@ -84,10 +95,6 @@ def shuffle_width(spark: SparkSession, rows: int) -> Iterator[None]:
     execution merges partitions that turn out small.
     """
     key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
     wanted = min(rows // ROWS_PER_PARTITION + 1, MOST_PARTITIONS)
-    spark.conf.set(key, str(max(int(before), wanted)))
-    try:
+    with setting(spark, key, str(max(int(spark.conf.get(key)), wanted))):
         yield
-    finally:
-        spark.conf.set(key, before)

@@ -51,21 +51,21 @@ def read_table(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
     if table == RUN_LOG:
         return latest_runs(read_run_events(spark, warehouse))
     done = visible_attempts(read_run_events(spark, warehouse)).collect()
-    paths = [_folder(warehouse, table, r.run_id, r.attempt) for r in done]
+    paths = [attempt_folder(warehouse, table, r.run_id, r.attempt) for r in done]
     if not paths:
         return spark.createDataFrame([], RUN_TABLES[table])
     rows = spark.read.schema(_stored_schema(table)).option("basePath", f"{warehouse}/{table}").parquet(*paths)
     return rows.select(*RUN_TABLES[table].names)
 
 
-def _folder(warehouse: str, table: str, run_id: str, attempt: str) -> str:
+def attempt_folder(warehouse: str, table: str, run_id: str, attempt: str) -> str:
     return f"{warehouse}/{table}/run_id={run_id}/attempt={attempt}"
 
 
 def write_run_rows(df: DataFrame, warehouse: str, table: str, run_id: str, attempt: str) -> None:
     """Write the rows of one attempt of a run."""
     rows = conform(df, RUN_TABLES[table])
-    rows.drop("run_id").write.parquet(_folder(warehouse, table, check_run_id(run_id), check_run_id(attempt)))
+    rows.drop("run_id").write.parquet(attempt_folder(warehouse, table, check_run_id(run_id), check_run_id(attempt)))
 
 
 def append_run_event(spark: SparkSession, warehouse: str, **event: object) -> None:
