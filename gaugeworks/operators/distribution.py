@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # Beyond this many bandwidths the Gaussian is exactly 0 in double precision.
 KERNEL_REACH = 39.0
+# Nodes of the binned density in a bandwidth.
+RESOLUTION = 256
 
 
 @dataclass(frozen=True)
@@ -96,16 +98,42 @@ def _gaussian(at: Column, center: Column, bandwidth: float) -> Column:
     return F.exp(-0.5 * z * z)
 
 
+def _binned(rows: DataFrame, low: float, width: float) -> DataFrame:
+    """Nodes ``at`` of an even grid and their ``weight``: each row's weight of 1 is shared
+    between the two nodes around it, the nearer one getting more.
+
+    The only pass over the rows is one aggregate by cell; a cell's two nodes follow from
+    its count and the summed distance from its lower end. Only cells with rows exist.
+    """
+    place = (F.col("v") - low) / width
+    cells = rows.groupBy(F.floor(place).alias("cell")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(place - F.floor(place)).alias("upper")
+    )
+    node = lambda cell, weight: F.struct((F.lit(low) + cell * width).alias("at"), weight.alias("weight"))
+    ends = F.array(node(F.col("cell"), F.col("n") - F.col("upper")), node(F.col("cell") + 1, F.col("upper")))
+    return cells.select(F.inline(ends))
+
+
 def kernel_density(
-    df: DataFrame, value: str, points: int = 200, bins: int = 50, spread: Spread | None = None
+    df: DataFrame,
+    value: str,
+    points: int = 200,
+    bins: int = 50,
+    spread: Spread | None = None,
+    resolution: int | None = RESOLUTION,
 ) -> DataFrame:
     """Gaussian density on an even grid, scaled to the counts of ``bins`` bins.
 
-    The bandwidth is Scott's: deviation times n to the power -1/5. Each row adds to
-    the grid points where its kernel is not exactly 0. As the bandwidth shrinks with
-    n and the grid does not grow, large data meets few points per row. Only one
-    partial sum per task and point is shuffled. NULL with less than two rows or no
-    spread.
+    The bandwidth is Scott's: deviation times n to the power -1/5. Rows are binned onto a
+    grid of ``resolution`` nodes a bandwidth and the weights of the nodes are convolved
+    with the kernel, so the rows are read by one aggregate and what follows depends on the
+    range, not on their number. Linear interpolation of the kernel between two nodes is off
+    by at most 1 / (8 resolution^2) of its peak, about 2e-6 as set, so that is the
+    bound of the error in units of the density of as many rows on one spot.
+
+    Without ``resolution`` every row adds to the points where its kernel is not exactly 0:
+    exact, but a row is multiplied by the number of those points. NULL with less than two
+    rows or no spread.
     """
     spread = spread or column_spread(df, value)
     grid = df.sparkSession.range(points).select(F.col("id").cast("int").alias("point"))
@@ -117,14 +145,19 @@ def kernel_density(
     step = (high - low) / (points - 1)
     reach = KERNEL_REACH * bandwidth
     number = F.col(value)
-    first = F.greatest(F.ceil((number - reach - low) / step), F.lit(0)).cast("int")
-    last = F.least(F.floor((number + reach - low) / step), F.lit(points - 1)).cast("int")
+    rows = df.filter(number.isNotNull() & ~F.isnan(number)).select(number.cast("double").alias("v"))
+    if resolution is None:
+        weighted = rows.select(F.col("v").alias("at"), F.lit(1.0).alias("weight"))
+    else:
+        weighted = _binned(rows, low, bandwidth / resolution)
+    at = F.col("at")
+    first = F.greatest(F.ceil((at - reach - low) / step), F.lit(0)).cast("int")
+    last = F.least(F.floor((at + reach - low) / step), F.lit(points - 1)).cast("int")
     x = F.lit(low) + F.col("point") * F.lit(step)
     sums = (
-        df.filter(number.isNotNull() & ~F.isnan(number))
-        .select(number.alias("v"), F.explode(F.sequence(first, last)).alias("point"))
+        weighted.select("at", "weight", F.explode(F.sequence(first, last)).alias("point"))
         .groupBy("point")
-        .agg(F.sum(_gaussian(x, F.col("v"), bandwidth)).alias("weight"))
+        .agg(F.sum(F.col("weight") * _gaussian(x, at, bandwidth)).alias("weight"))
     )
     # count * bin width * 1 / (count * bandwidth * sqrt(2 pi))
     scale = (high - low) / bins / (bandwidth * math.sqrt(2 * math.pi))

@@ -326,4 +326,14 @@ SELECT point, round(low + point * step, 4) AS x,
   round(sum(exp(-0.5 * power((low + point * step - d) / h, 2))) * ((high - low) / 50 / (h * sqrt(2 * pi()))), 4)
     AS density
 FROM grid, scott, deviations GROUP BY point, low, high, step, h""",
+    "deviation_kde_binned": f"""WITH {_DEVIATIONS},
+scott AS (SELECT *, sd * power(n, -0.2) AS h, (high - low) / 199 AS step FROM spread),
+grid AS (SELECT CAST(range AS INTEGER) AS point FROM range(200)),
+cells AS (SELECT floor((d - low) / (h / 256)) AS cell, count(*) AS held, sum((d - low) / (h / 256) - floor((d - low) / (h / 256))) AS upper
+  FROM deviations, scott GROUP BY 1),
+nodes AS (SELECT cell AS node, held - upper AS weight FROM cells UNION ALL SELECT cell + 1, upper FROM cells)
+SELECT point, round(low + point * step, 4) AS x,
+  round(sum(weight * exp(-0.5 * power((low + point * step - (low + node * (h / 256))) / h, 2)))
+    * ((high - low) / 50 / (h * sqrt(2 * pi()))), 4) AS density
+FROM grid, scott, nodes GROUP BY point, low, high, step, h""",
 }

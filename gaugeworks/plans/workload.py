@@ -534,6 +534,13 @@ def deviation_histogram(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def deviation_kde(spark: SparkSession, folder: str) -> DataFrame:
+    deviations, spread = _deviations(spark, folder)
+    density = distribution.kernel_density(deviations, "pollution_deviation", spread=spread, resolution=None)
+    return density.select("point", rounded("x"), rounded("density"))
+
+
+@query
+def deviation_kde_binned(spark: SparkSession, folder: str) -> DataFrame:
     deviations, spread = _deviations(spark, folder)
     density = distribution.kernel_density(deviations, "pollution_deviation", spread=spread)
     return density.select("point", rounded("x"), rounded("density"))

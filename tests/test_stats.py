@@ -12,6 +12,7 @@ from gaugeworks.operators.distribution import column_spread, deviation_spread, h
 from gaugeworks.operators.features import coerce_and_drop, group_deviation, group_profile, one_hot
 from gaugeworks.operators.quantiles import box_summary, group_quantiles
 from gaugeworks.operators.stats import correlation, group_mean, top_groups
+from tests.test_plans import plan
 
 
 def values(spark, numbers, group=1):
@@ -157,11 +158,38 @@ def _density(numbers, points=200, bins=50):
 @pytest.mark.parametrize("tail", [[], [1e5], [1e9]])
 def test_density(spark, tail):
     numbers = [*np.random.default_rng(4).normal(0, 1, 300), *tail]
-    got = [r.density for r in kernel_density(values(spark, numbers), "v").orderBy("point").collect()]
+    got = [r.density for r in kernel_density(values(spark, numbers), "v", resolution=None).orderBy("point").collect()]
     assert len(got) == 200
     assert got == pytest.approx(_density(numbers).tolist(), rel=1e-9, abs=1e-300)
 
 
+SHAPES = {
+    "normal": np.random.default_rng(4).normal(0, 1, 3000),
+    "skewed": np.random.default_rng(5).lognormal(0, 2, 3000),
+    "far": np.concatenate([np.random.default_rng(6).normal(1e9, 1, 2000), [1e9 + 1e6]]),
+    "ties": np.random.default_rng(7).integers(0, 4, 2000).astype(float),
+    "two": np.array([-1.0, 3.0]),
+}
+
+
+@pytest.mark.parametrize("resolution", [4, 256])
+@pytest.mark.parametrize("shape", sorted(SHAPES))
+def test_binned_density_stays_within_its_bound(spark, shape, resolution):
+    numbers = SHAPES[shape]
+    got = [r.density for r in kernel_density(values(spark, numbers.tolist()), "v", resolution=resolution).orderBy("point").collect()]
+    h = numbers.std(ddof=1) * len(numbers) ** -0.2
+    peak = len(numbers) / (h * np.sqrt(2 * np.pi)) * (numbers.max() - numbers.min()) / 50
+    rounding = 1e-6 if shape == "far" else 1e-9  # a value's distance from the grid has fewer digits there
+    assert np.abs(np.array(got) - _density(numbers)).max() <= peak * (1 / (8 * resolution**2) + rounding)
+
+
+def test_binned_density_reads_rows_into_one_aggregate(spark):
+    rows = spark.range(1000).select((F.col("id") % 37 * 1.5).alias("v"))
+    text = plan(kernel_density(rows, "v"), "simple")
+    steps = [line for line in text.splitlines() if "Generate" in line or "partial_" in line]
+    assert "partial_count" in steps[-1] and sum("Generate" in line for line in steps) == 2
+
+
 def test_density_degenerate(spark):
     for numbers in ([], [1.0], [2.0, 2.0]):
         got = kernel_density(values(spark, numbers), "v").collect()
