@@ -247,6 +247,17 @@ UNION ALL SELECT DISTINCT 'indicator', CAST(indicator_id AS VARCHAR), CAST(NULL
 UNION ALL SELECT DISTINCT 'place', CAST(geo_join_id AS VARCHAR), CAST(NULL AS DOUBLE),
   CASE WHEN geo_join_id IN (SELECT geo_join_id FROM early) THEN geo_place_name ELSE 'renamed' END
 FROM fact JOIN geographic USING (geo_join_id)""",
+    "merged_moments": f"""WITH {_FACT}
+SELECT indicator_id, count(*) AS n, round(avg(data_value) + 1e8, 3) AS mean, round(min(data_value) + 1e8, 2) AS low,
+  round(max(data_value) + 1e8, 2) AS high, round(stddev_samp(data_value), 3) AS deviation,
+  round(corr(data_value, month(start_date)), 6) AS correlation FROM fact GROUP BY indicator_id""",
+    "sketch_ranks": f"""WITH {_FACT}, seasons AS (SELECT {_SEASON} AS season_idx, count(*) AS n FROM fact GROUP BY 1)
+SELECT season_idx, probability, n, TRUE AS is_near
+FROM seasons, (VALUES (CAST(0.05 AS DOUBLE)), (0.25), (0.5), (0.75), (0.95)) p(probability)""",
+    "ingest_profiled": f"""WITH {_PLACES}
+SELECT geo_place_name, count(*) AS group_count, round(sum(data_value), 2) AS group_sum, round(min(data_value), 4) AS group_min,
+  round(max(data_value), 4) AS group_max, round(stddev_samp(data_value), 4) AS deviation
+FROM places WHERE indicator_id = 1 GROUP BY geo_place_name""",
     "price_quantiles": """SELECT l_returnflag, probability, round(CASE probability
   WHEN 0.1 THEN quantile_cont(l_extendedprice, 0.1) WHEN 0.5 THEN quantile_cont(l_extendedprice, 0.5)
   ELSE quantile_cont(l_extendedprice, 0.99) END, 4) AS quantile

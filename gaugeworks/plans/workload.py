@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from gaugeworks.functions.calendar import add_season, season_name, split_date
 from gaugeworks.functions.parse import parse_date, parse_number
 from gaugeworks.functions.text import clean_columns, null_tokens
-from gaugeworks.operators import audit, dedupe, distribution, features, joins, load, mapping, quantiles, rejects, stats
+from gaugeworks.operators import audit, dedupe, distribution, features, joins, load, mapping, profiles, quantiles, rejects, stats
 from gaugeworks.operators.runs import latest_runs
 from gaugeworks.operators.validate import REASON, rejected_rows, tag_records, valid_rows
 from gaugeworks.plans import testtables as data
 from gaugeworks.plans.ingest import run_ingest
+from gaugeworks.plans.profiled import run_profiled, update_profiles
 from gaugeworks.schemas import FILE_NAME, SOURCE_COLUMNS
 from gaugeworks.session import scratch_path, settle
 from gaugeworks.sources.files import normalize_headers, read_source, write_csv
@@ -511,6 +512,54 @@ def season_boxplot(spark: SparkSession, folder: str) -> DataFrame:
     return boxes.select("season_idx", season, "n", *[rounded(c) for c in numbers], "outliers")
 
 
+def _in_loads(rows: DataFrame) -> DataFrame:
+    """Facts with their load, one of seven, and a value far from zero."""
+    return add_season(rows).withColumns({"load": F.col("unique_id") % 7, "far_value": F.col("data_value") + F.lit(1e8)})
+
+
+@query
+def merged_moments(spark: SparkSession, folder: str) -> DataFrame:
+    """Moments by indicator, merged from a profile per load."""
+    rows = _in_loads(data.fact(spark, folder))
+    parts = settle(profiles.profile(rows, ["load", "indicator_id"], "far_value", "month"), "profiles")
+    merged = profiles.merge_profiles(parts, ["indicator_id"])
+    sd, r = profiles.deviation().alias("deviation"), profiles.correlation().alias("correlation")
+    return merged.select("indicator_id", "n", "mean", "low", "high", sd, r).select(
+        "indicator_id", "n", rounded("mean", 3), rounded("low", 2), rounded("high", 2), rounded("deviation", 3), rounded("correlation", 6)
+    )
+
+
+@query
+def sketch_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    """Quantiles by season from sketches per load, and whether their true rank is near enough."""
+    rows = settle(_in_loads(data.fact(spark, folder)).select("load", "season_idx", "data_value"), "seasons")
+    merged = profiles.merge_profiles(profiles.profile(rows, ["load", "season_idx"], "data_value"), ["season_idx"])
+    found = settle(profiles.sketch_quantiles(merged, ["season_idx"], [0.05, 0.25, 0.5, 0.75, 0.95]), "quantiles")
+    ranks = rows.join(found, "season_idx").groupBy("season_idx", "probability").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg((F.col("data_value") < F.col("quantile")).cast("double")).alias("under"),
+        F.avg((F.col("data_value") <= F.col("quantile")).cast("double")).alias("upto"),
+    )
+    wanted, error = F.col("probability"), profiles.RANK_ERROR
+    return ranks.select("season_idx", "probability", "n", wanted.between(F.col("under") - error, F.col("upto") + error).alias("is_near"))
+
+
+@query
+def ingest_profiled(spark: SparkSession, folder: str) -> DataFrame:
+    """Sums and spread by place of one indicator after two loads, each profiled when it came."""
+    home = scratch_path(spark, "profiled")
+    facts = data.fact(spark, folder).join(data.geographic(spark, folder), "geo_join_id").withColumn("start_date", text("start_date"))
+    rows = facts.withColumns({"name": F.lit("n"), "measure": F.lit("m"), "measure_info": F.lit("i")})
+    for run in (0, 1):
+        write_csv(rows.filter(F.col("unique_id") % 2 == run).select(*SOURCE_COLUMNS), f"{home}/run-{run}")
+        run_ingest(spark, SourceSpec(path=f"{home}/run-{run}"), f"{home}/tables", f"run-{run}")
+        update_profiles(spark, f"{home}/tables")
+    found = run_profiled(spark, f"{home}/tables", URGENT).place_profile
+    deviation = F.round(F.sqrt(F.try_divide(F.col("group_variance") * F.col("group_count"), F.col("group_count") - 1)), 4).alias("deviation")
+    total = F.round(F.col("group_mean") * F.col("group_count"), 2).alias("group_sum")
+    return found.select(PLACE, "group_count", total, rounded("group_min"), rounded("group_max"), deviation)
+
+
 @query
 def price_quantiles(spark: SparkSession, folder: str) -> DataFrame:
     """Quantiles by narrowing ranges over several rounds, as it happens on tables of any size."""
