@@ -49,7 +49,7 @@ def deviation_spread(profile: DataFrame) -> Spread:
     group, and the squared deviations of all groups add up. No row is read again.
     """
     squares = F.sum(F.col("group_variance") * F.col("group_count"))
-    n = F.sum("group_count")
+    n = F.coalesce(F.sum("group_count"), F.lit(0))
     return _first(
         profile.agg(
             F.min(F.col("group_min") - F.col("group_mean")).alias("low"),

@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gaugeworks.functions.calendar import add_season, split_date
 from gaugeworks.operators.distribution import deviation_spread, histogram, kernel_density
-from gaugeworks.operators.features import category_names, group_deviation, group_profile, one_hot
+from gaugeworks.operators.features import category_index, category_names, group_deviation, group_profile, one_hot, one_hot_sparse
 from gaugeworks.operators.joins import for_indicator, join_geographic, join_indicators
 from gaugeworks.operators.quantiles import box_summary
 from gaugeworks.operators.stats import correlation, top_of_profile
@@ -46,17 +47,29 @@ def _names_in_use(fact: DataFrame, indicators: DataFrame) -> list[str]:
     return category_names(indicators.join(used, "indicator_id", "left_semi"))
 
 
+def _encoded(fact: DataFrame, indicators: DataFrame, limit: int | None, sparse: bool) -> DataFrame:
+    named = join_indicators(fact, indicators)
+    if sparse:
+        used = fact.select("indicator_id").distinct()
+        names = indicators.join(used, "indicator_id", "left_semi")
+        return one_hot_sparse(named, index=settle(category_index(names), "category-index"))
+    return one_hot(named, categories=_names_in_use(fact, indicators), limit=limit)
+
+
 def run_analysis(
     spark: SparkSession,
     warehouse: str,
     indicator: int = INDICATOR,
     export_to: str | None = None,
     category_limit: int | None = None,
+    sparse_names: bool = False,
 ) -> Analysis:
     """All results as DataFrames; with ``export_to`` also the two CSV exports there.
 
     The rows of the indicator with their places are written once and read by the results
     that need them; the top places come from the same group profile as the deviations.
+    With ``sparse_names`` the encoded rows have one sparse vector, JSON in the export, in place of a column
+    per indicator name, so that no name passes through the driver.
     """
     fact = read_table(spark, warehouse, "measurements")
     geographic = read_table(spark, warehouse, "geographic")
@@ -75,10 +88,11 @@ def run_analysis(
         top_places=top_of_profile(profile, PLACE),
         deviation_histogram=histogram(deviations, DEVIATION, spread=spread),
         deviation_density=kernel_density(deviations, DEVIATION, spread=spread),
-        encoded=one_hot(join_indicators(fact, indicators), categories=_names_in_use(fact, indicators), limit=category_limit),
+        encoded=_encoded(fact, indicators, category_limit, sparse_names),
         split=split_date(fact),
     )
     if export_to:
-        write_csv(result.encoded, f"{export_to}/encoded_measurements.csv")
+        text = result.encoded.withColumn("name_vector", F.to_json("name_vector")) if sparse_names else result.encoded
+        write_csv(text, f"{export_to}/encoded_measurements.csv")
         write_csv(result.split, f"{export_to}/split_measurements.csv")
     return result

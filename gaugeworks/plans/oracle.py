@@ -305,6 +305,10 @@ SELECT unique_id, CAST(start_date AS VARCHAR) AS start_date, CAST(year(start_dat
   CAST(o_orderpriority = '3-MEDIUM' AS INTEGER) AS "name_3-MEDIUM",
   CAST(o_orderpriority = '4-NOT SPECIFIED' AS INTEGER) AS "name_4-NOT SPECIFIED",
   CAST(o_orderpriority = '5-LOW' AS INTEGER) AS "name_5-LOW" FROM orders""",
+    "one_hot_sparse": """WITH placed AS (
+  SELECT c_custkey, c_nationkey, dense_rank() OVER (ORDER BY c_name) AS r FROM customer)
+SELECT c_custkey, c_nationkey, CAST((SELECT max(r) FROM placed) - 1 AS INTEGER) AS size,
+  CASE WHEN r > 1 THEN CAST(r - 2 AS INTEGER) END AS place, CASE WHEN r > 1 THEN 1.0::DOUBLE END AS value FROM placed""",
     "season_corr": f"""WITH {_FACT}, seasons AS (SELECT {_SEASON} AS season_idx, data_value FROM fact)
 SELECT round(corr(season_idx, data_value), 6) AS correlation FROM seasons""",
     "season_corr_constant": f"""WITH seasons AS (

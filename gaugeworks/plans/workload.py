@@ -492,6 +492,17 @@ def one_hot(spark: SparkSession, folder: str) -> DataFrame:
     return features.one_hot(rows)
 
 
+@query
+def one_hot_sparse(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers' names as categories: as many as there are customers."""
+    customers = data.table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey")
+    encoded = features.one_hot_sparse(customers, "c_name")
+    held = F.col("c_name_vector")
+    return encoded.select(
+        "c_custkey", "c_nationkey", held["size"].alias("size"), F.get(held["indices"], F.lit(0)).alias("place"), F.get(held["values"], F.lit(0)).alias("value")
+    )
+
+
 @query
 def season_corr(spark: SparkSession, folder: str) -> DataFrame:
     return stats.correlation(add_season(data.fact(spark, folder))).select(rounded("correlation", 6))

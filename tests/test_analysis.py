@@ -85,3 +85,18 @@ def test_exports(spark, analysis, frame):
     assert ones == (frame["Indicator ID"] == 365).sum()
     split = spark.read.option("header", True).csv(f"{home}/out/split_measurements.csv")
     assert split.columns[-3:] == ["year", "month", "day"] and split.count() == len(frame)
+
+
+def test_sparse_names(spark, analysis, frame):
+    _, home = analysis
+    result = run_analysis(spark, f"{home}/tables", export_to=f"{home}/sparse", sparse_names=True)
+    dense = {r["unique_id"]: [r["name_Ozone (O3)"], r["name_PM 2.5"]] for r in analysis[0].encoded.collect()}
+    assert {r.unique_id: [int(k in r.name_vector.indices) for k in range(r.name_vector.size)] for r in result.encoded.collect()} == dense
+    written = spark.read.option("header", True).option("escape", '"').csv(f"{home}/sparse/encoded_measurements.csv")
+    assert written.count() == len(frame) and written.filter("name_vector LIKE '{\"size\":2,%'").count() == len(frame)
+
+
+def test_nothing_stored(spark, tmp_path):
+    result = run_analysis(spark, str(tmp_path / "none"))
+    assert result.top_places.count() == 0 and result.deviation_histogram.count() == 0
+    assert {r.density for r in result.deviation_density.collect()} == {None}

@@ -9,9 +9,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gaugeworks.operators.distribution import column_spread, deviation_spread, histogram, kernel_density
-from gaugeworks.operators.features import coerce_and_drop, group_deviation, group_profile, one_hot
+from gaugeworks.operators.features import category_index, coerce_and_drop, group_deviation, group_profile, one_hot, one_hot_sparse
 from gaugeworks.operators.quantiles import box_summary, group_quantiles
 from gaugeworks.operators.stats import correlation, group_mean, top_groups
+from gaugeworks.session import setting
 from tests.test_plans import plan
 
 
@@ -215,3 +216,48 @@ def test_coerce_and_drop(spark):
         "start_date string, data_value string, geo_place_name string",
     )
     assert coerce_and_drop(rows).count() == 1
+
+
+def _vector(row):
+    v = row.name_vector
+    return v.size, v.indices, v.values
+
+
+def test_sparse_vectors_say_what_the_dense_columns_say(spark):
+    names = ["b", "a", None, "C", "b", "é", "a.b (c)"]
+    rows = spark.createDataFrame([(i, n, "x") for i, n in enumerate(names)], "id int, name string, `category_index` string")
+    dense = {r.id: [r[c] for c in r.__fields__ if c.startswith("name_")] for r in one_hot(rows).collect()}
+    sparse = one_hot_sparse(rows)
+    assert sparse.columns == ["id", "category_index", "name_vector"]
+    for r in sparse.collect():
+        size, indices, ones = _vector(r)
+        assert dense[r.id] == [int(k in indices) for k in range(size)] and ones == [1.0] * len(indices)
+    other = spark.createDataFrame([(1, "z"), (2, "é"), (3, "C")], "id int, name string")
+    assert {r.id: _vector(r)[1] for r in one_hot_sparse(other, index=category_index(rows)).collect()} == {1: [], 2: [3], 3: []}
+
+
+@pytest.mark.parametrize("names", [[], [None], ["only"]])
+def test_sparse_vectors_of_few_categories(spark, names):
+    rows = spark.createDataFrame([(n,) for n in names], "name string")
+    assert [_vector(r) for r in one_hot_sparse(rows).collect()] == [(0, [], [])] * len(names)
+
+
+def test_many_categories_never_reach_the_driver(spark, monkeypatch):
+    """200,000 names, one of them in a third of the rows."""
+    number = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 200_000)
+    rows = spark.range(600_000).select("id", F.concat(F.lit("n"), F.lpad(number.cast("string"), 6, "0")).alias("name"))
+    with monkeypatch.context() as patch:
+        patch.setattr(type(rows), "collect", lambda self: pytest.fail("collected"))
+        encoded = one_hot_sparse(rows)
+    vector = F.col("name_vector")
+    # Names sort as their numbers do, and all 200,000 occur.
+    wrong = F.when(number == 0, F.size(vector["indices"]) != 0).otherwise(F.get(vector["indices"], F.lit(0)) != number - 1)
+    found = encoded.agg(F.count("*"), F.count_if(wrong), F.max(vector["size"]), F.min(vector["size"])).first()
+    assert tuple(found) == (600_000, 0, 199_999, 199_999)
+
+
+def test_category_index_orders_over_many_ranges(spark):
+    rows = spark.range(5000).select(F.sha2((F.col("id") % 1700).cast("string"), 256).alias("name"))
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        found = category_index(rows).collect()
+    assert [r.category_index for r in sorted(found)] == list(range(1700))
