@@ -2,38 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from gaugeworks.operators.audit import fk_orphans, not_null_violations, pk_violations
+from gaugeworks.operators.audit import audit_tables
 from gaugeworks.schemas import FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS
 from gaugeworks.sources.tables import read_table
 
 
 def check_warehouse(spark: SparkSession, warehouse: str) -> DataFrame:
     """One row per check: ``check_kind``, ``table_name``, ``column_name`` and the number
-    of rows that break it."""
-
-    def row(kind: str, table: str, column: str, broken: DataFrame, amount: str) -> DataFrame:
-        total = F.coalesce(F.sum(amount), F.lit(0)).cast("bigint").alias("violations")
-        return broken.agg(total).select(
-            F.lit(kind).alias("check_kind"), F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "violations"
-        )
-
+    of rows that break it. Each table is read once."""
     tables = {name: read_table(spark, warehouse, name) for name in PRIMARY_KEYS}
-    checks = [
-        row("primary key", table, key, pk_violations(tables[table], key), "row_count")
-        for table, key in PRIMARY_KEYS.items()
-    ]
-    checks += [
-        row("foreign key", child, column, fk_orphans(tables[child], column, tables[parent], key), "row_count")
-        for child, column, parent, key in FOREIGN_KEYS
-    ]
-    checks += [
-        row("not null", table, column, not_null_violations(tables[table], [column]), "null_count")
-        for table, columns in NOT_NULL.items()
-        for column in columns
-    ]
-    return reduce(DataFrame.unionByName, checks)
+    return audit_tables(tables, PRIMARY_KEYS, FOREIGN_KEYS, NOT_NULL)

@@ -193,6 +193,25 @@ SELECT k AS order_key, c AS copy_number, unique_id, indicator_id, geo_join_id, s
   CASE WHEN error_reason IS NULL THEN CAST(data_value AS DOUBLE) END AS data_value,
   CASE WHEN error_reason IS NULL THEN 'valid' ELSE 'rejected' END AS outcome FROM tagged""",
     "reject_reason": f"WITH {_TAGGED} SELECT k AS order_key, c AS copy_number, error_reason FROM tagged",
+    "default_rules": f"""WITH {_TAGGED}
+SELECT error_reason, count(*) AS reject_count FROM tagged WHERE error_reason IS NOT NULL GROUP BY error_reason""",
+    "default_reasons": f"""WITH {_TAGGED}, named AS (
+  SELECT k, c, CASE WHEN k % 2 = 0 THEN error_reason END AS error_reason FROM tagged WHERE error_reason IS NOT NULL),
+stored AS (SELECT coalesce(error_reason, 'Unknown validation error') AS error_reason, count(*) AS reject_count FROM named GROUP BY 1),
+reported AS (SELECT coalesce(error_reason, 'Validation failed') AS error_reason, count(*) AS reject_count FROM named GROUP BY 1
+  ORDER BY reject_count DESC, min(k * 10 + c) LIMIT 5)
+SELECT *, 'stored' AS place FROM stored UNION ALL SELECT *, 'reported' FROM reported""",
+    "parse_date_forms": """WITH texts AS (
+  SELECT o_orderkey, o_orderkey % 10 AS kind, CASE o_orderkey % 10
+    WHEN 0 THEN strftime(o_orderdate, '%m/%d/%y') WHEN 1 THEN strftime(o_orderdate, '%d-%b-%Y') WHEN 2 THEN strftime(o_orderdate, '%b %Y')
+    WHEN 3 THEN strftime(o_orderdate, '%m/%Y') WHEN 4 THEN strftime(o_orderdate, '%m.%d.%Y') WHEN 5 THEN strftime(o_orderdate, '%Y%m%dT%H%M%S')
+    WHEN 6 THEN strftime(o_orderdate, '%B %-d, %Y') WHEN 7 THEN strftime(o_orderdate, '%d%b%Y') WHEN 8 THEN strftime(o_orderdate, '%Y-%b-%d')
+    ELSE 'Mon ' || strftime(o_orderdate, '%b %-d %Y') END AS date_text FROM orders)
+SELECT o_orderkey, date_text, CAST(CAST(CASE kind
+    WHEN 0 THEN strptime(date_text, '%m/%d/%y') WHEN 1 THEN strptime(date_text, '%d-%b-%Y') WHEN 2 THEN strptime('1 ' || date_text, '%d %b %Y')
+    WHEN 3 THEN strptime('01/' || date_text, '%d/%m/%Y') WHEN 4 THEN strptime(date_text, '%m.%d.%Y') WHEN 5 THEN strptime(date_text, '%Y%m%dT%H%M%S')
+    WHEN 6 THEN strptime(date_text, '%B %d, %Y') WHEN 7 THEN strptime(date_text, '%d%b%Y') WHEN 8 THEN strptime(date_text, '%Y-%b-%d') END AS DATE) AS VARCHAR) AS start_date
+FROM texts""",
     "reject_summary": f"""WITH {_TAGGED}
 SELECT error_reason, count(*) AS reject_count, CAST(sum(count(*)) OVER () AS BIGINT) AS total_rejected
 FROM tagged WHERE error_reason IS NOT NULL GROUP BY error_reason
@@ -273,6 +292,20 @@ FROM fact LEFT JOIN (SELECT * FROM geographic WHERE geo_type_name <> 'AFRICA') U
   SELECT DISTINCT CAST(substring(o_orderpriority, 1, 1) AS INTEGER) AS indicator_id, o_orderpriority AS name
   FROM orders WHERE o_orderpriority <> '5-LOW')
 SELECT fact.* REPLACE (CAST(start_date AS VARCHAR) AS start_date), name FROM fact JOIN indicators USING (indicator_id)""",
+    "table_audit": """WITH o AS (
+  SELECT CASE WHEN o_orderkey % 50 <> 0 THEN CASE WHEN o_orderkey % 31 = 0 THEN o_orderkey - 1 ELSE o_orderkey END END AS o_orderkey,
+    CASE WHEN o_orderkey % 19 <> 0 THEN o_custkey END AS o_custkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS o_orderpriority FROM orders),
+c AS (SELECT * FROM customer WHERE c_custkey % 7 > 0), r AS (SELECT * FROM region WHERE r_regionkey < 4)
+SELECT 'primary key' AS check_kind, 'orders' AS table_name, 'o_orderkey' AS column_name,
+  (SELECT coalesce(sum(n), 0)::BIGINT FROM (SELECT o_orderkey, count(*) AS n FROM o GROUP BY 1) WHERE n > 1 OR o_orderkey IS NULL) AS violations
+UNION ALL SELECT 'primary key', 'customer', 'c_name', (SELECT coalesce(sum(n), 0)::BIGINT FROM (SELECT c_name, count(*) AS n FROM c GROUP BY 1) WHERE n > 1 OR c_name IS NULL)
+UNION ALL SELECT 'primary key', 'nation', 'n_regionkey', (SELECT coalesce(sum(n), 0)::BIGINT FROM (SELECT n_regionkey, count(*) AS n FROM nation GROUP BY 1) WHERE n > 1 OR n_regionkey IS NULL)
+UNION ALL SELECT 'foreign key', 'orders', 'o_custkey', (SELECT count(*) FROM o WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM c WHERE c_custkey = o_custkey))
+UNION ALL SELECT 'foreign key', 'customer', 'c_nationkey', (SELECT count(*) FROM c WHERE c_nationkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM nation WHERE n_nationkey = c_nationkey))
+UNION ALL SELECT 'foreign key', 'nation', 'n_regionkey', (SELECT count(*) FROM nation WHERE n_regionkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM r WHERE r_regionkey = n_regionkey))
+UNION ALL SELECT 'not null', 'orders', 'o_custkey', (SELECT count(*) FROM o WHERE o_custkey IS NULL)
+UNION ALL SELECT 'not null', 'orders', 'o_orderpriority', (SELECT count(*) FROM o WHERE o_orderpriority IS NULL)
+UNION ALL SELECT 'not null', 'nation', 'n_name', (SELECT count(*) FROM nation WHERE n_name IS NULL)""",
     "pk_violations": """SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "fk_orphans": """SELECT o_custkey, count(*) AS row_count FROM orders

@@ -188,6 +188,17 @@ def parse_dates(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def parse_date_forms(spark: SparkSession, folder: str) -> DataFrame:
+    """Order dates written in forms with short years, names, dots, months alone and compact times."""
+    patterns = ["MM/dd/yy", "dd-MMM-yyyy", "MMM yyyy", "MM/yyyy", "MM.dd.yyyy", "yyyyMMdd'T'HHmmss", "MMMM d, yyyy", "ddMMMyyyy", "yyyy-MMM-dd", "'Mon' MMM d yyyy"]
+    chosen = F.lit(None).cast("string")
+    for i, pattern in enumerate(patterns):
+        chosen = F.when(F.col("o_orderkey") % len(patterns) == i, F.date_format("o_orderdate", pattern)).otherwise(chosen)
+    rows = settle(data.table(spark, folder, "orders").select("o_orderkey", chosen.alias("date_text")), "date-forms")
+    return rows.select("o_orderkey", "date_text", parse_date(F.col("date_text")).cast("string").alias("start_date"))
+
+
 @query
 def coerce_dropna(spark: SparkSession, folder: str) -> DataFrame:
     rows = _date_texts(spark, folder).select(
@@ -218,6 +229,24 @@ def reject_reason(spark: SparkSession, folder: str) -> DataFrame:
     return tagged.select(F.col("_key").alias("order_key"), F.col("_copy").alias("copy_number"), REASON)
 
 
+@query
+def default_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Reasons under a configuration whose rule lists are empty or missing: the defaults hold."""
+    spec = SourceSpec.from_config({"data_source": {"path": folder}, "validation": {"required_fields": [], "numeric_fields": None}})
+    tagged = tag_records(data.wide_rows(spark, folder), spec.rules, spec.null_tokens)
+    return tagged.filter(REASON + " IS NOT NULL").groupBy(REASON).agg(F.count(F.lit(1)).alias("reject_count"))
+
+
+@query
+def default_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    """Rejected rows that name no reason: the reason stored, and the one reported."""
+    named = F.when(F.col("_key") % 2 == 0, F.col(REASON)).alias(REASON)
+    rows = rejected_rows(_tagged(spark, folder)).withColumn(REASON, named).withColumnRenamed(data.ORIGIN, FILE_NAME)
+    stored = rejects.reject_rows(rows, "run-1", data.WIDE_ORDER).groupBy(REASON).agg(F.count(F.lit(1)).alias("reject_count"))
+    told = rejects.reject_summary(rows, data.WIDE_ORDER).select(REASON, "reject_count")
+    return stored.withColumn("place", F.lit("stored")).unionByName(told.withColumn("place", F.lit("reported")))
+
+
 @query
 def reject_summary(spark: SparkSession, folder: str) -> DataFrame:
     tagged = _tagged(spark, folder, REASON, *data.WIDE_ORDER)
@@ -451,6 +480,23 @@ def dimension_conflicts(spark: SparkSession, folder: str) -> DataFrame:
     return audit.dimension_conflicts(customers, "c_nationkey", ["c_mktsegment"])
 
 
+@query
+def table_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Primary keys, foreign keys and NOT NULL of four tables that have lost and repeated some keys."""
+    orders, customers = data.table(spark, folder, "orders"), data.table(spark, folder, "customer")
+    nations, regions = data.table(spark, folder, "nation"), data.table(spark, folder, "region")
+    key = F.col("o_orderkey")
+    orders = orders.withColumns({
+        "o_custkey": F.when(key % 19 != 0, F.col("o_custkey")),
+        "o_orderkey": F.when(key % 50 != 0, F.when(key % 31 == 0, key - 1).otherwise(key)),
+        "o_orderpriority": F.when(key % 3 != 0, F.col("o_orderpriority")),
+    })
+    tables = {"orders": orders, "customer": customers.filter("c_custkey % 7 > 0"), "nation": nations, "region": regions.filter("r_regionkey < 4")}
+    foreign = [("orders", "o_custkey", "customer", "c_custkey"), ("customer", "c_nationkey", "nation", "n_nationkey"), ("nation", "n_regionkey", "region", "r_regionkey")]
+    keys = {"orders": "o_orderkey", "customer": "c_name", "nation": "n_regionkey"}
+    return audit.audit_tables(tables, keys, foreign, {"orders": ["o_custkey", "o_orderpriority"], "nation": ["n_name"]})
+
+
 # --- statistics and features --------------------------------------------------------
 
 

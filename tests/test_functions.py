@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.calendar import add_season, season_index, split_date
-from gaugeworks.functions.parse import is_number, parse_date, parse_int, parse_number
+from gaugeworks.functions.parse import SHAPES, is_number, parse_date, parse_int, parse_number
 from gaugeworks.functions.text import NULL_TOKENS, clean_columns, clean_text, null_tokens
 
 
@@ -86,6 +86,49 @@ DATES = {
 }
 
 
+# Accepted forms beyond those, and forms that stay rejected though the reference's library takes them.
+MORE_DATES = {
+    "12/01/08": "2008-12-01", "13/01/08": "2008-01-13", "12-01-08": "2008-12-01", "12.01.08": "2008-12-01",
+    "01-Dec-2008": "2008-12-01", "1-dec-2008": "2008-12-01", "01-DEC-08": "2008-12-01", "1 Dec 08": "2008-12-01", "Dec 1 08": "2008-12-01",
+    "Jan 2020": "2020-01-01", "January 2020": "2020-01-01", "Sept. 2008": "2008-09-01", "Dec-2008": "2008-12-01", "Dec/2008": "2008-12-01",
+    "01/2008": "2008-01-01", "1/2008": "2008-01-01", "01-2008": "2008-01-01", "2008/12": "2008-12-01", "2008.12": "2008-12-01", "2008-1": "2008-01-01",
+    "12 2008": "2008-12-01", "2008 12": "2008-12-01", "2008 12 01": "2008-12-01", "01 12 2008": "2008-01-12",
+    "12.01.2008": "2008-12-01", "13.01.2008": "2008-01-13", "2008.12.01": "2008-12-01", "1.2.2008": "2008-01-02",
+    "20200101T101500": "2020-01-01", "20200101T1015": "2020-01-01", "20200101T101500Z": "2020-01-01", "20081201 10:15": "2008-12-01",
+    "01Dec2008": "2008-12-01", "Dec2008": "2008-12-01", "December2008": "2008-12-01", "1/Dec/2008": "2008-12-01", "Dec-01-2008": "2008-12-01",
+    "2008-Dec-01": "2008-12-01", "2008 Dec 1": "2008-12-01", "December 1 2008": "2008-12-01", "1 December, 2008": "2008-12-01",
+    "Dec 1, 2008 10:15": "2008-12-01", "1-Dec-2008 10:15:00 AM": "2008-12-01", "Dec 2008 10:15": "2008-12-01", "2008-12-01 10": "2008-12-01", "12/01/2008 10": "2008-12-01",
+    "7/4/1776": "1776-07-04", "12/01/68": "2068-12-01", "12/01/76": "1976-12-01",
+}
+REFUSED_DATES = [
+    "32/01/08", "Mon Dec 1 2008", "1st Dec 2008", "Jan 2020 10", "200812", "081201", "2008, Dec 1", "2008Q4", "today", "now",
+    "01.2008", "Dec 08", "2008Dec01", "2008120110", "00/12/2008", "2008-12-01 24:00", "30-Feb-2008", "31/31/08", "Dex 2008", "99/99/99", "1-1", "aaa", "9999", "-", "1//2008", "Dec 32 2008",
+]
+#: The library takes a short year to be within 50 years of today; here the century is fixed.
+CENTURY = {"12/01/69": "1969-12-01", "01-Dec-75": "1975-12-01"}
+
+
+def test_more_dates(spark):
+    wanted = {**MORE_DATES, **CENTURY, **dict.fromkeys(REFUSED_DATES)}
+    got = apply(spark, lambda c: parse_date(c).cast("string"), list(wanted))
+    assert dict(zip(wanted, got, strict=True)) == wanted
+
+
+def test_shapes_are_as_many_as_the_forms_make():
+    assert 80 < len(SHAPES) < 200 and all(shape.count("a") in (0, 3) for shape in SHAPES)
+    assert SHAPES["99999999"] == {"y": 1, "y_size": 4, "m": 5, "m_size": 2, "d": 7, "d_size": 2}
+    assert SHAPES["9-aaa-99"] == {"d": 1, "d_size": 1, "n": 3, "n_size": 3, "y": 7, "y_size": 2}
+
+
+def test_every_day_in_every_form(spark):
+    patterns = ["M/d/yy", "dd-MMM-yyyy", "MM.dd.yyyy", "yyyyMMdd'T'HHmmss", "MMMM d, yyyy", "ddMMMyyyy", "yyyy-MMM-dd", "yyyy.M.d", "d MMMM yy"]
+    days = spark.sql("SELECT explode(sequence(date'1996-02-27', date'2004-03-02')) AS day").withColumn("at", F.col("day").cast("timestamp_ntz"))
+    wrong = [F.count_if(~parse_date(F.date_format("at", p)).eqNullSafe(F.col("day"))).alias(p) for p in patterns]
+    first = F.trunc("day", "month")
+    wrong += [F.count_if(~parse_date(F.date_format("at", p)).eqNullSafe(first)).alias(p) for p in ("MMM yyyy", "M/yyyy", "yyyy-M", "yyyy.MM")]
+    assert set(days.agg(*wrong).first()) == {0}
+
+
 def test_dates(spark):
     got = apply(spark, lambda c: parse_date(c).cast("string"), list(DATES))
     assert dict(zip(DATES, got, strict=True)) == DATES
@@ -99,11 +142,12 @@ def test_dates_match_pandas(spark):
     pd = pytest.importorskip("pandas")
     import warnings
 
-    texts = [text for text, day in DATES.items() if day is not None]
+    wanted = {**DATES, **MORE_DATES}
+    texts = [text for text, day in wanted.items() if day is not None]
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
         want = [str(pd.to_datetime(text).date()) for text in texts]
-    assert want == [DATES[text] for text in texts]
+    assert want == [wanted[text] for text in texts]
 
 
 def test_seasons(spark):

@@ -12,6 +12,8 @@ from gaugeworks.operators import audit, dedupe, joins, load, rejects, stats
 from gaugeworks.operators.features import group_deviation, group_profile
 from gaugeworks.operators.validate import tag_records
 from gaugeworks.plans import testtables as data
+from gaugeworks.plans.ingest import run_ingest
+from gaugeworks.plans.integrity import check_warehouse
 from gaugeworks.plans.workload import QUERIES
 from gaugeworks.session import shuffle_width
 from gaugeworks.sources.files import scan_source
@@ -117,6 +119,14 @@ def test_orphan_check_counts_before_it_joins(spark):
     assert text.index("LeftAnti") < text.index("partial_count")
 
 
+def test_an_audit_reads_each_table_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(A)
+    run_ingest(spark, SourceSpec(path=str(tmp_path / "a.csv")), str(tmp_path / "home"), "r")
+    checks = check_warehouse(spark, str(tmp_path / "home"))
+    assert plan(checks, "simple").count("FileScan") == 5
+    assert {r.violations for r in checks.collect()} == {0} and checks.count() == 12
+
+
 def test_tagging_stays_below_the_compiled_method_limit(spark, tmp_path):
     """The JVM does not compile methods of more than 8000 bytes."""
     (tmp_path / "a.csv").write_text(A)
