@@ -1,7 +1,8 @@
 """Token counts of whole texts by the whole-token shortcut.
 
-Which vocabulary entries encode alone as one token is proved once per worker; pre-tokens
-among them count as one without merging, and only the rest is merged
+Which vocabulary entries encode alone as one token is proved once, before the job, and sent to
+the workers; pre-tokens among them count as one without merging, only the rest is merged, and
+counts are added up without making ids
 (:class:`gaugeworks.llm.tokens.WordBpe`). One pass over the texts, no shuffle.
 
 Defined results: a null text counts as empty (0 bytes, 0 tokens); rows with the same id
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.tables import rows_of
-from gaugeworks.llm.tokens import word_bpe
+from gaugeworks.llm.tokens import shared_word_bpe
 
 
 def token_counts(df: DataFrame, path: str, limit: int = 2048, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -26,11 +27,13 @@ def token_counts(df: DataFrame, path: str, limit: int = 2048, id_column: str = "
     source = df.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     schema = f"id {dict(source.dtypes)['id']}, n_bytes long, n_tokens long, over_limit boolean"
 
+    encoder_here = shared_word_bpe(df.sparkSession, path)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_bpe(path)
+        encoder = encoder_here()
         for batch in rows_of(batches):
             texts = batch.column("text").to_pylist()
-            n = [len(ids) // 4 for ids in encoder.ids_of(texts)]
+            n = encoder.counts_of(texts)
             size = [len(t.encode("utf-8")) for t in texts]
             columns = [batch.column("id"), pa.array(size, pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "n_bytes", "n_tokens", "over_limit"])

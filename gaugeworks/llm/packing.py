@@ -6,7 +6,8 @@ best-fit decreasing and compares its number of bins with lower bounds from dual-
 functions. Where they are equal the bucket is certified: its bins stay, but for the
 emptiest. Where a gap remains only its full bins stay. What did not stay is dealt anew,
 to fewer buckets, so that buckets exchange pieces, until one bucket holds the rest or a
-round limit is reached.
+round keeps next to nothing. The last round compares with the bound as well, and the result
+says of every sequence whether it is certified.
 
 Defined results: a null text counts as empty and gives one piece, the end id; rows with
 the same id are packed one by one; a null id stays null; an empty table gives an empty
@@ -15,6 +16,7 @@ table; other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -26,13 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.tables import rows_of
-from gaugeworks.llm.tokens import word_bpe
+from gaugeworks.llm.tokens import shared_word_bpe
 from gaugeworks.session import settle
 
 CAPACITY = 2048
-#: Pieces of a bucket, on average, and rounds of exchange.
+#: Pieces of a bucket, on average.
 BUCKET_ROWS = 20_000
-ROUNDS = 5
+#: Exchange goes on while a round leaves at most this share of its pieces.
+MOST_LEFT = 0.75
 
 
 def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -41,8 +44,10 @@ def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0,
     schema = f"id {dict(source.dtypes)['id']}, piece int, start long, length long, ids_crc32 long"
     end = struct.pack("<I", end_id)
 
+    encoder_here = shared_word_bpe(df.sparkSession, path)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_bpe(path)
+        encoder = encoder_here()
         for batch in rows_of(batches):
             row, piece, start, length, crc = [], [], [], [], []
             for i, ids in enumerate(encoder.ids_of(batch.column("text").to_pylist())):
@@ -117,37 +122,41 @@ def _packer(turn: int, last: bool, capacity: int, length_column: str) -> Callabl
         sizes = frame[length_column].to_numpy(np.int64)
         bins, offsets = best_fit_decreasing(sizes, capacity)
         load = np.bincount(bins, weights=sizes).astype(np.int64)
+        fewest = len(load) == lower_bound(sizes, capacity)
         if last:
             stays = np.ones(len(load), bool)
-        elif len(load) == lower_bound(sizes, capacity):
+        elif fewest:
             stays = np.arange(len(load)) != np.argmin(load)
         else:
             stays = load == capacity
-        number = (turn << 58) + (key[0] << 24) + bins
-        return frame.assign(sequence_id=np.where(stays[bins], number, -1), offset=offsets)
+        number = (turn << 56) + (key[0] << 24) + bins
+        return frame.assign(sequence_id=np.where(stays[bins], number, -1), offset=offsets, certified=fewest | (load == capacity)[bins])
 
     return packed
 
 
-def pack(df: DataFrame, capacity: int = CAPACITY, length_column: str = "length", bucket_rows: int = BUCKET_ROWS, rounds: int = ROUNDS) -> DataFrame:
-    """``df`` with the sequence of every row and its offset there.
+def pack(df: DataFrame, capacity: int = CAPACITY, length_column: str = "length", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``df`` with the sequence of every row, its offset there, and whether the sequence is certified.
 
-    Every round is written to the scratch folder, since dealing depends on row order.
-    ``length_column`` holds whole numbers from 1 to ``capacity``.
+    A sequence is certified if no packing of its bucket's rows has fewer sequences, or if
+    it is full. Every round is written to the scratch folder, since dealing depends on row
+    order. ``length_column`` holds whole numbers from 1 to ``capacity``. Columns of ``df``
+    that are named as those of the result are replaced.
     """
-    schema = f"{', '.join(f'`{n}` {t}' for n, t in df.dtypes)}, sequence_id long, offset long"
-    kept = None
+    df = df.drop("sequence_id", "offset", "certified", "__bucket")
+    schema = f"{', '.join(f'`{n}` {t}' for n, t in df.dtypes)}, sequence_id long, offset long, certified boolean"
+    kept, before = None, None
     rest = settle(df, "pack")
-    for turn in range(rounds):
+    for turn in itertools.count():
         n = rest.count()
         buckets = max(1, -(-n // bucket_rows))
-        last = buckets == 1 or turn == rounds - 1
-
+        # Nothing closes the gaps any more when a round has kept next to nothing.
+        last = buckets == 1 or (before is not None and n > before * MOST_LEFT)
         dealt = rest.withColumn("__bucket", (F.rand(turn + 1) * buckets).cast("long"))
         done = settle(dealt.groupBy("__bucket").applyInPandas(_packer(turn, last, capacity, length_column), schema), "pack")
         settled = done.where("sequence_id >= 0")
         kept = settled if kept is None else kept.unionByName(settled)
         if last:
             return kept
-        rest = done.where("sequence_id < 0").drop("sequence_id", "offset")
-    return kept
+        rest, before = done.where("sequence_id < 0").drop("sequence_id", "offset", "certified"), n
+    raise AssertionError("the loop ends by return")

@@ -1,10 +1,12 @@
 """Sharding by vector bin packing: bytes, tokens and rows of every shard near equal.
 
-Rows with equal texts form a group; a group goes whole to one shard unless it is large
-against a shard or a task, then it is cut into chunks by a hash of the row. Groups are
-dealt at random to buckets of a bounded number of rows. Each bucket places its groups,
+Rows with equal texts form a group; a group goes whole to one shard unless it is larger
+than a shard's share of bytes, tokens or rows, so that no shard can hold it; then it is cut into a chunk for every shard. Groups are placed,
 largest first, on the shard whose residual capacity has the highest dot product with the
-group's size vector, both in units of a shard's share. The smallest groups, about
+group's size vector, both in units of a shard's share. Those above ``LARGE`` of a share in
+bytes, tokens or rows, of which there can only be a few per shard, come first and by their sums
+alone; their rows are dealt to buckets like any others. The other groups are dealt at random to buckets of a
+bounded number of rows, and each bucket places its own against what the large ones have left. The smallest groups, about
 ``held`` of all bytes, wait: once the loads of all buckets are summed (one row per
 shard), they are placed the same way against what the shards still lack.
 
@@ -28,14 +30,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.tables import rows_of
-from gaugeworks.llm.tokens import word_bpe
+from gaugeworks.llm.tokens import shared_word_bpe
 from gaugeworks.session import settle
 
 OVERHEAD = 16
 BUCKET_ROWS = 40_000
-#: A group above this share of a shard's mean bytes or rows, or above this many rows, is cut into chunks.
-WHOLE_SHARE = 0.1
-WHOLE_ROWS = 2_000
+#: Groups above this part of a shard's share are placed before all others: 3 / LARGE per shard at most.
+LARGE = 0.05
 #: Share of the bytes, in the smallest groups, that is placed last.
 HELD = 0.05
 
@@ -45,12 +46,14 @@ def measured(df: DataFrame, path: str, id_column: str = "doc_id", text_column: s
     source = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = dict(source.dtypes)["id"]
 
+    encoder_here = shared_word_bpe(df.sparkSession, path)
+
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_bpe(path)
+        encoder = encoder_here()
         for batch in rows_of(batches):
             texts = batch.column("text").to_pylist()
             raw = [(t or "").encode("utf-8") for t in texts]
-            tokens = [len(ids) // 4 for ids in encoder.ids_of(texts)]
+            tokens = encoder.counts_of(texts)
             columns = [
                 batch.column("id"),
                 batch.column("text"),
@@ -86,13 +89,29 @@ def shard_rows(rows: DataFrame, shards: int, id_column: str = "doc_id", bucket_r
     share = np.array([all_bytes, all_tokens, n], float) / shards
     unit = np.where(share > 0, share, 1.0)
 
-    groups = rows.groupBy("key").agg(F.count("*").alias("copies"), F.sum("size").alias("mass"))
-    most_rows, most_bytes = min(WHOLE_ROWS, max(1.0, WHOLE_SHARE * n / shards)), max(1.0, WHOLE_SHARE * all_bytes / shards)
-    chunks = F.greatest(F.ceil(F.col("copies") / F.lit(most_rows)), F.ceil(F.col("mass") / F.lit(most_bytes)))
-    large = settle(groups.select("key", F.least(chunks, F.col("copies")).alias("chunks")).where("chunks > 1"), "shard")
+    groups = rows.groupBy("key").agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows"))
+    part = F.greatest(*(F.col(c) / F.lit(float(u)) for c, u in zip(("size", "tokens", "rows"), unit, strict=True)))
+    chunks = F.when(part > 1, F.least(F.lit(shards), F.col("rows"))).otherwise(1).cast("long")
+    large = settle(groups.select("key", "size", "tokens", "rows", chunks.alias("chunks")).where((part > LARGE) & (F.col("rows") > 1)), "shard")
+    cut = large.select("key", "chunks", (F.array("size", "tokens", "rows")).alias("sums"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
+    few = cut.orderBy("key", "chunk").collect()  # at most 3 / LARGE + 3 per shard
+    room = np.ones((shards, len(unit)))
+    if few:
+        vectors = np.array([[x / r["chunks"] for x in r["sums"]] for r in few]) / unit
+        found = _place(vectors, np.argsort(-vectors.max(axis=1), kind="stable"), room)
+        places = [(r["key"], r["chunk"], int(k)) for r, k in zip(few, found, strict=True)]
+    else:
+        places = []
+    places = rows.sparkSession.createDataFrame(places, "key string, chunk long, fixed int")
+    # Each shard's part of what the other groups may take: the law is bytes, so those decide in every dimension.
+    free = np.maximum(room[:, :1], 0) / max(np.maximum(room[:, 0], 0).sum(), 1e-9)
+
+    # Rows of a large group are dealt to its chunks, and to buckets, one by one; other groups go to a bucket whole.
     chunk = F.coalesce(F.floor(F.rand(7) * F.col("chunks")), F.lit(0)).cast("long")
-    dealt = rows.join(large, "key", "left").withColumn("chunk", chunk).drop("chunks")
-    dealt = settle(dealt.withColumn("bucket", F.pmod(F.xxhash64("key", "chunk"), F.lit(buckets))), "shard")
+    dealt = rows.join(large.select("key", "chunks"), "key", "left").withColumn("chunk", chunk)
+    spread = F.floor(F.rand(11) * buckets).cast("long")
+    bucket = F.when(F.col("chunks").isNull(), F.pmod(F.xxhash64("key"), F.lit(buckets))).otherwise(spread)
+    dealt = settle(dealt.withColumn("bucket", bucket).drop("chunks"), "shard").join(places, ["key", "chunk"], "left")
     base = f"{', '.join(f'`{a}` {b}' for a, b in dealt.dtypes)}, shard int, slot long"
 
     def grouped(frame: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
@@ -106,17 +125,21 @@ def shard_rows(rows: DataFrame, shards: int, id_column: str = "doc_id", bucket_r
         return frame.assign(slot=frame.groupby("shard").cumcount())
 
     def first(key: tuple[int], frame: pd.DataFrame) -> pd.DataFrame:
-        sums, of = grouped(frame)
-        vectors = sums.to_numpy(float) / unit
-        weight = vectors.max(axis=1)
-        order = np.argsort(-weight, kind="stable")
-        mass = np.cumsum(sums["size"].to_numpy()[order])
-        placed = order[: int(np.searchsorted(mass, (1 - held) * mass[-1], "left")) + 1]
-        room = np.tile(vectors.sum(axis=0) / shards, (shards, 1))
-        found = np.full(len(sums), -1, np.int64)
-        # Shards start out equal and ties go to the first, so every bucket counts them from another one.
-        found[placed] = (_place(vectors, placed, room)[placed] + key[0]) % shards
-        return numbered(frame, found[of])
+        fixed = frame["fixed"].notna().to_numpy()
+        shard = frame["fixed"].fillna(-1).to_numpy(np.int64)
+        if not fixed.all():
+            sums, of = grouped(frame[~fixed])
+            vectors = sums.to_numpy(float) / unit
+            weight = vectors.max(axis=1)
+            order = np.argsort(-weight, kind="stable")
+            mass = np.cumsum(sums["size"].to_numpy()[order])
+            placed = order[: int(np.searchsorted(mass, (1 - held) * mass[-1], "left")) + 1]
+            # Ties go to the first shard, so every bucket counts them from another one.
+            room = np.roll(free * vectors.sum(axis=0), -(key[0] % shards), axis=0)
+            found = np.full(len(sums), -1, np.int64)
+            found[placed] = (_place(vectors, placed, room)[placed] + key[0]) % shards
+            shard[~fixed] = found[of]
+        return numbered(frame, shard)
 
     once = settle(dealt.groupBy("bucket").applyInPandas(first, base), "shard")
     loads = once.where("shard >= 0").groupBy("shard").agg(F.sum("size"), F.sum("tokens"), F.count("*")).collect()  # one row per shard

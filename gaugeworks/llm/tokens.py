@@ -1,18 +1,21 @@
 """Exact encoders over public tokenizer files, with a cache of what was met before.
 
 Both vocabularies are read from the tokenizer file a caller names. Encoders are built
-once per Python worker and kept there.
+once per Python worker and kept there; what they remember is bounded in bytes.
 """
 
 from __future__ import annotations
 
 import json
 import struct
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import regex
 import tiktoken
+from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
 
 #: How a byte-level vocabulary writes the 256 bytes: printable ones as themselves, the others from 256 on.
@@ -51,35 +54,74 @@ def byte_bpe_bytes(path: str) -> tuple[bytes, ...]:
     return tuple(encoder.decode_single_token_bytes(i) for i in range(encoder.n_vocab))
 
 
+#: Longer chunks, in characters, are not remembered: words are shorter, and texts without blanks would fill the memory.
+LONG_CHUNK = 64
+#: Bytes that remembered chunks may take in a worker, by estimate.
+MEMORY = 64 << 20
+_ENTRY = 220  # of a remembered chunk and its ids or count, besides their characters and bytes
+
+
+class _Memory:
+    """Chunks and their values, in two halves: when the young one is full it becomes the old one, whose unused chunks go."""
+
+    def __init__(self, size: int):
+        self.size, self.held = size, 0
+        self.young: dict[str, bytes | int] = {}
+        self.old: dict[str, bytes | int] = {}
+
+    def missing(self, chunks: set[str]) -> set[str]:
+        """The chunks without a value; the others are young from now on."""
+        new = chunks.difference(self.young)
+        for chunk in new.intersection(self.old):
+            self.keep(chunk, self.old[chunk])
+        return new.difference(self.old)
+
+    def keep(self, chunk: str, value: bytes | int) -> None:
+        self.young[chunk] = value
+        self.held += _ENTRY + len(chunk) + (len(value) if isinstance(value, bytes) else 0)
+
+    def shed(self) -> None:
+        if 2 * self.held > self.size:
+            self.old, self.young, self.held = self.young, {}, 0
+
+
+@dataclass(frozen=True)
+class Proof:
+    """What the library was seen to do: characters that it splits as the pattern here does, and entries that encode alone as one id."""
+
+    plain: frozenset[str]
+    whole: dict[str, bytes]
+
+
 class WordBpe:
-    """Word-end vocabulary: ids of a text, chunk by chunk.
+    """Word-end vocabulary: ids or their number, chunk by chunk.
 
     A pre-token never holds white space and the split pattern looks at nothing outside
     a match, so a text's ids are those of its white-space-separated chunks in order.
-    Chunks are remembered (``memory`` of them, then the memory starts anew); a new one
+    Chunks of ordinary length are remembered in ``memory`` bytes; a new one
     is split into pre-tokens. A pre-token that is a *whole token* is looked up, any
     other one is merged by the library.
 
     Whole tokens are proved, not assumed: every vocabulary entry that ends a word is
-    encoded alone by the library and kept if just its own id comes back.
+    encoded alone by the library and kept if just its own id comes back. The proof is made
+    once, on the driver, and handed to the workers.
 
     Chunks with characters outside the proved alphabet, texts with special strings and
     texts with separators on which Python and the library differ go to the library
     whole, so they are right by definition.
     """
 
-    def __init__(self, path: str, memory: int = 500_000):
+    def __init__(self, path: str, proof: Proof | None = None, memory: int = MEMORY):
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.memory = memory
         self.special = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
-        self._known: dict[str, bytes] = {}
+        self._ids, self._counts = _Memory(memory // 2), _Memory(memory // 2)
         self._merge_ranks = self._word_end_ranks()
         self._ends = np.zeros(self._merge_ranks.n_vocab, bool)
         self._ends[[i for t, i in self.library.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]] = True
-        self._plain = self._proved_alphabet()
-        self.whole = self._whole_tokens()
+        self._plain = proof.plain if proof else self._proved_alphabet()
+        self.whole = proof.whole if proof else self._whole_tokens()
 
     def _word_end_ranks(self) -> tiktoken.Encoding:
         """The merges by rank, with a space for the end of a word: no pre-token holds one.
@@ -136,44 +178,78 @@ class WordBpe:
     def _merged(self, chunk: str) -> bytes:
         return b"".join(self._merge(p) for p in WORD_PATTERN.findall(chunk.lower()))
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Remember the ids of new chunks; those of one call are merged together."""
-        known, whole, plain = self._known, self.whole, self._plain
-        split, odd = [], []
+    def _values(self, chunks: set[str], counted: bool) -> dict[str, bytes | int]:
+        """Ids of the chunks, or only how many; pre-tokens of one call are merged together."""
+        whole, plain, found = self.whole, self._plain, {}
+        split = []
         for chunk in chunks:
             if plain.issuperset(chunk):
                 word = chunk.lower()
                 split.append((chunk, (word,) if word.isalpha() else WORD_PATTERN.findall(word)))
             else:
-                odd.append(chunk)
-        known.update(zip(odd, map(self._library, odd), strict=True))
+                ids = self._library(chunk)
+                found[chunk] = len(ids) // 4 if counted else ids
         others = list(dict.fromkeys(p for _, ps in split for p in ps if p not in whole))
+        merged: dict[str, bytes | int] = {}
         if others:
             ids = self._merge_ranks.encode_to_numpy(" ".join(others) + " ").astype("<u4")
-            stops = 4 * (np.flatnonzero(self._ends[ids]) + 1)
-            raw, starts = ids.tobytes(), [0, *stops[:-1].tolist()]
-            merged = {p: raw[i:j] for p, i, j in zip(others, starts, stops.tolist(), strict=True)}
+            stops = np.flatnonzero(self._ends[ids]) + 1
+            if counted:
+                merged = dict(zip(others, np.diff(stops, prepend=0).tolist(), strict=True))
+            else:
+                raw, ends = ids.tobytes(), (4 * stops).tolist()
+                merged = {p: raw[i:j] for p, i, j in zip(others, [0, *ends[:-1]], ends, strict=True)}
         for chunk, pretokens in split:
-            known[chunk] = b"".join([whole.get(p) or merged[p] for p in pretokens])
+            if counted:
+                found[chunk] = sum([1 if p in whole else merged[p] for p in pretokens])
+            else:
+                found[chunk] = b"".join([whole.get(p) or merged[p] for p in pretokens])
+        return found
 
-    def ids_of(self, texts: list[str | None]) -> list[bytes]:
-        """Per text its ids as little-endian unsigned 32-bit integers; null and empty give none."""
-        known = self._known
-        if len(known) > self.memory:
-            known.clear()
-        out: list[bytes] = [b""] * len(texts)
+    def _each(self, texts: list[str | None], counted: bool) -> list:
+        memory, add = (self._counts, sum) if counted else (self._ids, b"".join)
+        out: list = [0 if counted else b""] * len(texts)
         split: dict[int, list[str]] = {}
         for i, text in enumerate(texts):
             if text and (any(s in text for s in self.special) or any(s in text for s in _ODD_SPACES)):
-                out[i] = self._library(text)
+                ids = self._library(text)
+                out[i] = len(ids) // 4 if counted else ids
             elif text:
                 split[i] = text.split()
-        self._learn(set().union(*split.values()).difference(known))
+        found = self._values(memory.missing(set().union(*split.values())), counted)
+        once = {}
+        for chunk, value in found.items():
+            if len(chunk) <= LONG_CHUNK:
+                memory.keep(chunk, value)
+            else:
+                once[chunk] = value
+        known = memory.young
         for i, chunks in split.items():
-            out[i] = b"".join(map(known.__getitem__, chunks))
+            out[i] = add([once[c] if c in once else known[c] for c in chunks]) if once else add(map(known.__getitem__, chunks))
+        memory.shed()
         return out
 
+    def ids_of(self, texts: list[str | None]) -> list[bytes]:
+        """Per text its ids as little-endian unsigned 32-bit integers; null and empty give none."""
+        return self._each(texts, counted=False)
+
+    def counts_of(self, texts: list[str | None]) -> list[int]:
+        """Per text the number of its ids, added up without making them."""
+        return self._each(texts, counted=True)
+
+
+_workers: dict[str, WordBpe] = {}
+
+
+def word_bpe(path: str, proof: Proof | None = None) -> WordBpe:
+    """This process's encoder of a tokenizer file."""
+    if path not in _workers:
+        _workers[path] = WordBpe(path, proof)
+    return _workers[path]
+
 
-@lru_cache(maxsize=2)
-def word_bpe(path: str) -> WordBpe:
-    return WordBpe(path)
+def shared_word_bpe(spark: SparkSession, path: str) -> Callable[[], WordBpe]:
+    """For tasks: gives the worker's encoder, with the proof made here. What is sent follows the vocabulary alone, about 2 MB."""
+    encoder = word_bpe(path)
+    proof = spark.sparkContext.broadcast(Proof(encoder._plain, encoder.whole))
+    return lambda: word_bpe(path, proof.value)

@@ -42,3 +42,38 @@ def test_small_groups_stay_whole(spark):
     df = spark.range(3000).selectExpr("id as doc_id", "concat('text of group ', cast(id % 1000 as string), ' with some words') as text")
     found = sharding.shard_rows(sharding.measured(df, WORD_BPE), 5).toPandas()
     assert (found.groupby(found["doc_id"] % 1000)["shard"].nunique() == 1).all()
+
+
+def _grouped(spark, sizes):
+    """Rows (id, size, tokens, crc, key) of groups of so many rows each."""
+    rows = [(i, 100, 10, 1, f"g{g}") for g, n in enumerate(sizes) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, size long, tokens long, text_crc32 long, key string")
+
+
+def _pieces(spark, sizes, shards):
+    """Shards over which each group is spread, and rows per shard."""
+    rows = _grouped(spark, sizes).withColumnRenamed("doc_id", "at").withColumn("doc_id", F.concat_ws("/", "key", "at")).drop("at")
+    found = sharding.shard_rows(rows, shards, bucket_rows=300).toPandas()
+    _check(found, shards, sum(sizes))
+    found["group"] = found["doc_id"].str.split("/").str[0]
+    return found.groupby("group")["shard"].nunique().to_dict(), found.groupby("shard").size()
+
+
+def test_a_group_that_just_fits_a_shard_stays_whole(spark):
+    """Ten shards of 300 rows: groups of 300, 299, 150 and 31 rows fit one, no shard can hold a group of 301."""
+    sizes = [300, 299, 150, 31, 301, *[3] * 600, *[1] * 119]
+    pieces, loads = _pieces(spark, sizes, 10)
+    assert pieces.pop("g4") > 1 and set(pieces.values()) == {1}
+    assert loads.max() <= 315 and loads.min() >= 285
+
+
+def test_a_third_of_all_rows_is_spread_evenly(spark):
+    pieces, loads = _pieces(spark, [1000, *[2] * 1000], 6)
+    assert pieces.pop("g0") == 6 and set(pieces.values()) == {1}
+    assert loads.max() - loads.min() <= 20
+
+
+def test_null_ids_and_one_text_for_all(spark):
+    df = spark.createDataFrame([(None, "same")] * 50, "doc_id long, text string")
+    found = sharding.shard_rows(sharding.measured(df, WORD_BPE), 4).toPandas()
+    _check(found, 4, 50)

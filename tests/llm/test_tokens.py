@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from gaugeworks.llm import bpe, counts, packing
-from gaugeworks.llm.tokens import word_bpe
+from gaugeworks.llm.tokens import LONG_CHUNK, WordBpe, word_bpe
 from tests.llm.conftest import BYTE_BPE, LONG, ROWS, WORD_BPE
 
 PARTS = ["the", "'s", "'re", " ", "  ", "\n", "<|endoftext|>", "<|endof", "é", "日本", "a" * 30, "!!!", "123", "x'll", "　", "😀", " " * 20, "zqxj", "İ", "\x1c", "ǰ"]
@@ -132,3 +132,61 @@ def test_pack_keeps_every_piece_once(spark, bucket_rows):
 
 def test_pack_of_nothing(empty):
     assert packing.pack(packing.pieces(empty, WORD_BPE)).count() == 0
+
+
+def _resident_mb():
+    with open("/proc/self/statm") as file:
+        return int(file.read().split()[1]) * 4096 / 1e6
+
+
+def test_long_chunks_do_not_fill_the_memory():
+    """20,000 chunks of 8,000 characters without a blank, all distinct."""
+    rnd = np.random.default_rng(1)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789", np.uint8)
+    encoder = word_bpe(WORD_BPE)
+    draw = lambda: rnd.choice(letters, 8000).tobytes().decode()
+    encoder.ids_of([draw() for _ in range(50)])
+    before = _resident_mb()
+    for _ in range(400):
+        encoder.counts_of([draw() for _ in range(50)])
+    assert _resident_mb() - before < 100
+    assert not any(len(c) > LONG_CHUNK for c in (*encoder._counts.young, *encoder._counts.old))
+
+
+def test_what_is_remembered_is_bounded_and_right():
+    small, library = WordBpe(WORD_BPE, memory=60_000), Tokenizer.from_file(WORD_BPE)
+    texts = [" ".join(f"w{(i * 7919) % 1700}x{i % 13}" for i in range(k, k + 60)) for k in range(0, 6000, 45)] + _random_texts(60)
+    for k in range(0, len(texts), 7):
+        part = texts[k : k + 7]
+        wanted = [library.encode(t, add_special_tokens=False).ids for t in part]
+        assert [list(struct.unpack(f"<{len(ids) // 4}I", ids)) for ids in small.ids_of(part)] == wanted
+        assert small.counts_of(part) == [len(ids) for ids in wanted]
+    for memory in (small._ids, small._counts):
+        assert len(memory.young) + len(memory.old) < 500 and memory.old
+
+
+def _bins(rows):
+    return {b: sorted(r["length"] for r in rows if r["sequence_id"] == b) for b in {r["sequence_id"] for r in rows}}
+
+
+def test_one_bucket_is_certified(spark):
+    df = spark.createDataFrame([(None, 0, x, "clash", 7) for x in [6, 5, 4, 3, 2]], "doc_id long, piece int, length long, sequence_id string, offset int")
+    found = packing.pack(df, capacity=10).collect()
+    assert all(r["certified"] for r in found) and sorted(_bins(found).values()) == [[2, 3, 5], [4, 6]]
+    # Two bins would do (5 3 2, 4 3 3), but best fit takes three.
+    gap = packing.pack(spark.createDataFrame([(x,) for x in [5, 4, 3, 3, 3, 2]], "length long"), capacity=10).collect()
+    assert len(_bins(gap)) == 3 and [r["certified"] for r in gap if r["length"] == 5] == [False]
+
+
+def test_exchange_closes_gaps(spark):
+    """Each bucket alone leaves a gap; documents exchanged between buckets fill it."""
+    rnd = random.Random(3)
+    rows = [(i, rnd.choice([700, 650, 400, 350, 300, 250, 90, 20])) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, length long")
+    alone = packing.pack(df, capacity=1000, bucket_rows=10**6).collect()
+    dealt = packing.pack(df, capacity=1000, bucket_rows=150).collect()
+    assert sorted((r["doc_id"], r["length"]) for r in dealt) == rows
+    least = packing.lower_bound(np.array([r[1] for r in rows]), 1000)
+    # 27 buckets, each with a bin that is not full, would need as many more.
+    assert least == len(_bins(alone)) and len(_bins(dealt)) <= least + 4
+    assert sum(r["certified"] for r in dealt) > 0.9 * len(rows)
