@@ -56,8 +56,8 @@ def byte_bpe_bytes(path: str) -> tuple[bytes, ...]:
 
 #: Longer chunks, in characters, are not remembered: words are shorter, and texts without blanks would fill the memory.
 LONG_CHUNK = 64
-#: Bytes that remembered chunks may take in a worker, by estimate.
-MEMORY = 64 << 20
+#: Bytes that remembered chunks may take in a worker, by estimate, for ids and for counts; a job uses one of them.
+MEMORY = 128 << 20
 _ENTRY = 220  # of a remembered chunk and its ids or count, besides their characters and bytes
 
 
@@ -72,13 +72,16 @@ class _Memory:
     def missing(self, chunks: set[str]) -> set[str]:
         """The chunks without a value; the others are young from now on."""
         new = chunks.difference(self.young)
-        for chunk in new.intersection(self.old):
-            self.keep(chunk, self.old[chunk])
-        return new.difference(self.old)
+        again = new.intersection(self.old)
+        if again:
+            self.keep({chunk: self.old[chunk] for chunk in again})
+            new -= again
+        return new
 
-    def keep(self, chunk: str, value: bytes | int) -> None:
-        self.young[chunk] = value
-        self.held += _ENTRY + len(chunk) + (len(value) if isinstance(value, bytes) else 0)
+    def keep(self, values: dict[str, bytes | int]) -> None:
+        self.young.update(values)
+        self.held += _ENTRY * len(values) + sum(map(len, values))
+        self.held += sum([len(v) for v in values.values() if isinstance(v, bytes)])
 
     def shed(self) -> None:
         if 2 * self.held > self.size:
@@ -116,7 +119,7 @@ class WordBpe:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
-        self._ids, self._counts = _Memory(memory // 2), _Memory(memory // 2)
+        self._ids, self._counts = _Memory(memory), _Memory(memory)
         self._merge_ranks = self._word_end_ranks()
         self._ends = np.zeros(self._merge_ranks.n_vocab, bool)
         self._ends[[i for t, i in self.library.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]] = True
@@ -217,12 +220,8 @@ class WordBpe:
             elif text:
                 split[i] = text.split()
         found = self._values(memory.missing(set().union(*split.values())), counted)
-        once = {}
-        for chunk, value in found.items():
-            if len(chunk) <= LONG_CHUNK:
-                memory.keep(chunk, value)
-            else:
-                once[chunk] = value
+        once = {chunk: found.pop(chunk) for chunk in [c for c in found if len(c) > LONG_CHUNK]}
+        memory.keep(found)
         known = memory.young
         for i, chunks in split.items():
             out[i] = add([once[c] if c in once else known[c] for c in chunks]) if once else add(map(known.__getitem__, chunks))
