@@ -57,35 +57,25 @@ def byte_bpe_bytes(path: str) -> tuple[bytes, ...]:
 #: Longer chunks, in characters, are not remembered: words are shorter, and texts without blanks would fill the memory.
 LONG_CHUNK = 64
 #: Bytes that remembered chunks may take in a worker, by estimate, for ids and for counts; a job uses one of them.
-MEMORY = 128 << 20
+MEMORY = 120 << 20
 _ENTRY = 220  # of a remembered chunk and its ids or count, besides their characters and bytes
 
 
 class _Memory:
-    """Chunks and their values, in two halves: when the young one is full it becomes the old one, whose unused chunks go."""
+    """Chunks and their values; when they have taken ``size`` bytes, the memory starts anew."""
 
     def __init__(self, size: int):
         self.size, self.held = size, 0
-        self.young: dict[str, bytes | int] = {}
-        self.old: dict[str, bytes | int] = {}
-
-    def missing(self, chunks: set[str]) -> set[str]:
-        """The chunks without a value; the others are young from now on."""
-        new = chunks.difference(self.young)
-        again = new.intersection(self.old)
-        if again:
-            self.keep({chunk: self.old[chunk] for chunk in again})
-            new -= again
-        return new
+        self.known: dict[str, bytes | int] = {}
 
     def keep(self, values: dict[str, bytes | int]) -> None:
-        self.young.update(values)
+        self.known.update(values)
         self.held += _ENTRY * len(values) + sum(map(len, values))
         self.held += sum([len(v) for v in values.values() if isinstance(v, bytes)])
 
     def shed(self) -> None:
-        if 2 * self.held > self.size:
-            self.old, self.young, self.held = self.young, {}, 0
+        if self.held > self.size:
+            self.known, self.held = {}, 0
 
 
 @dataclass(frozen=True)
@@ -219,10 +209,10 @@ class WordBpe:
                 out[i] = len(ids) // 4 if counted else ids
             elif text:
                 split[i] = text.split()
-        found = self._values(memory.missing(set().union(*split.values())), counted)
+        found = self._values(set().union(*split.values()).difference(memory.known), counted)
         once = {chunk: found.pop(chunk) for chunk in [c for c in found if len(c) > LONG_CHUNK]}
         memory.keep(found)
-        known = memory.young
+        known = memory.known
         for i, chunks in split.items():
             out[i] = add([once[c] if c in once else known[c] for c in chunks]) if once else add(map(known.__getitem__, chunks))
         memory.shed()
