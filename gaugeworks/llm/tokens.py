@@ -11,6 +11,7 @@ import struct
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import regex
@@ -28,6 +29,8 @@ SIGN_BYTE = {sign: b for b, sign in BYTE_SIGN.items()}
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Fixed value: the split pattern of the word-end vocabulary, over lower-cased text.
 WORD_PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: The same with line ends, which part the chunks of one call.
+CHUNKS_PATTERN = regex.compile(WORD_PATTERN.pattern + r"|\n")
 
 #: White space for Python, but not for the split patterns.
 _ODD_SPACES = ("\x1c", "\x1d", "\x1e", "\x1f")
@@ -92,8 +95,8 @@ class WordBpe:
     A pre-token never holds white space and the split pattern looks at nothing outside
     a match, so a text's ids are those of its white-space-separated chunks in order.
     Chunks of ordinary length are remembered in ``memory`` bytes; a new one
-    is split into pre-tokens. A pre-token that is a *whole token* is looked up, any
-    other one is merged by the library.
+    is split into pre-tokens, which are merged by rank. Where only numbers of ids are
+    asked for, a pre-token that is a *whole token* counts as one without merging.
 
     Whole tokens are proved, not assumed: every vocabulary entry that ends a word is
     encoded alone by the library and kept if just its own id comes back. The proof is made
@@ -113,6 +116,7 @@ class WordBpe:
         self._merge_ranks = self._word_end_ranks()
         self._ends = np.zeros(self._merge_ranks.n_vocab, bool)
         self._ends[[i for t, i in self.library.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]] = True
+        self._line_end = self._merge_ranks.encode_single_token(b"\n ")
         self._plain = proof.plain if proof else self._proved_alphabet()
         self.whole = proof.whole if proof else self._whole_tokens()
 
@@ -172,33 +176,47 @@ class WordBpe:
         return b"".join(self._merge(p) for p in WORD_PATTERN.findall(chunk.lower()))
 
     def _values(self, chunks: set[str], counted: bool) -> dict[str, bytes | int]:
-        """Ids of the chunks, or only how many; pre-tokens of one call are merged together."""
-        whole, plain, found = self.whole, self._plain, {}
-        split = []
-        for chunk in chunks:
-            if plain.issuperset(chunk):
-                word = chunk.lower()
-                split.append((chunk, (word,) if word.isalpha() else WORD_PATTERN.findall(word)))
-            else:
-                ids = self._library(chunk)
-                found[chunk] = len(ids) // 4 if counted else ids
-        others = list(dict.fromkeys(p for _, ps in split for p in ps if p not in whole))
-        merged: dict[str, bytes | int] = {}
-        if others:
-            ids = self._merge_ranks.encode_to_numpy(" ".join(others) + " ").astype("<u4")
-            stops = np.flatnonzero(self._ends[ids]) + 1
-            if counted:
-                merged = dict(zip(others, np.diff(stops, prepend=0).tolist(), strict=True))
-            else:
-                raw, ends = ids.tobytes(), (4 * stops).tolist()
-                merged = {p: raw[i:j] for p, i, j in zip(others, [0, *ends[:-1]], ends, strict=True)}
-        for chunk, pretokens in split:
-            if counted:
-                found[chunk] = sum([1 if p in whole else merged[p] for p in pretokens])
-            else:
-                found[chunk] = b"".join([whole.get(p) or merged[p] for p in pretokens])
+        """Ids of the chunks, or only how many.
+
+        Proved chunks are split and merged in one go, with a line end after each: it is a
+        pre-token of its own that no chunk holds.
+        """
+        plain = self._plain
+        if plain.issuperset(set("".join(chunks))):
+            proved, found = list(chunks), {}
+        else:
+            proved, found = [], {}
+            for chunk in chunks:
+                if plain.issuperset(chunk):
+                    proved.append(chunk)
+                else:
+                    ids = self._library(chunk)
+                    found[chunk] = len(ids) // 4 if counted else ids
+        if not proved:
+            return found
+        pretokens = CHUNKS_PATTERN.findall("\n".join(proved).lower() + "\n")
+        if counted:
+            # Whole tokens count one, line ends none, only the rest is merged.
+            ends = np.fromiter(map("\n".__eq__, pretokens), bool, len(pretokens))
+            rest = ~(np.fromiter(map(self.whole.__contains__, pretokens), bool, len(pretokens)) | ends)
+            sizes = np.ones(len(pretokens), np.int64)
+            sizes[ends] = 0
+            sizes[rest] = self._sizes(list(compress(pretokens, rest.tolist())))
+            found.update(zip(proved, np.diff(np.cumsum(sizes)[ends], prepend=0).tolist(), strict=True))
+        else:
+            ids = self._merge_ranks.encode_to_numpy(" ".join(pretokens) + " ").astype("<u4")
+            raw, ends = ids.tobytes(), (4 * np.flatnonzero(ids == self._line_end)).tolist()
+            starts = [0, *[end + 4 for end in ends]]
+            found.update({c: raw[i:j] for c, i, j in zip(proved, starts, ends)})
         return found
 
+    def _sizes(self, pretokens: list[str]) -> np.ndarray:
+        """Per pre-token the number of its ids; all are merged together."""
+        if not pretokens:
+            return np.zeros(0, np.int64)
+        ids = self._merge_ranks.encode_to_numpy(" ".join(pretokens) + " ")
+        return np.diff(np.flatnonzero(self._ends[ids]) + 1, prepend=0)
+
     def _each(self, texts: list[str | None], counted: bool) -> list:
         memory, add = (self._counts, sum) if counted else (self._ids, b"".join)
         out: list = [0 if counted else b""] * len(texts)
