@@ -161,6 +161,9 @@ SELECT * REPLACE (CAST(start_date AS VARCHAR) AS start_date), 'run-1' AS run_id
     "src_csv_headers": """SELECT o_orderkey AS unique_id, o_orderpriority AS name,
   strftime(o_orderdate, '%Y-%m-%d') AS start_date, o_totalprice AS data_value FROM orders""",
     "src_csv": """SELECT o_orderkey AS unique_id, o_orderpriority AS name,
+  strftime(o_orderdate, '%Y-%m-%d') AS start_date, o_totalprice AS data_value FROM orders""",
+    "src_csv_breaks": """SELECT o_orderkey AS unique_id, o_orderpriority
+    || CASE WHEN o_orderkey % 3 = 0 THEN chr(10) || '"a",' || chr(13) || chr(10) || chr(10) ELSE ', b' END || '.' AS name,
   strftime(o_orderdate, '%Y-%m-%d') AS start_date, o_totalprice AS data_value FROM orders""",
     "src_json": """SELECT o_orderkey AS unique_id, o_orderpriority AS name,
   strftime(o_orderdate, '%Y-%m-%d') AS start_date, o_totalprice AS data_value FROM orders""",

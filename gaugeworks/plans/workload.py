@@ -117,6 +117,16 @@ def src_csv_headers(spark: SparkSession, folder: str) -> DataFrame:
     return _order_values(read_source(spark, SourceSpec(path=f"{path}/*", mapping={c: c for c in columns})))
 
 
+@query
+def src_csv_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Names with line breaks, quotes and delimiters, read in splits."""
+    path = scratch_path(spark, "orders-breaks")
+    mark = F.when(F.col("Unique ID") % 3 == 0, F.lit('\n"a",\r\n\n')).otherwise(F.lit(", b"))
+    write_csv(_order_texts(spark, folder).withColumn("Name", F.concat("Name", mark, F.lit("."))), path)
+    columns = ("unique_id", "name", "start_date", "data_value")
+    return _order_values(read_source(spark, SourceSpec(path=path, mapping={c: c for c in columns}, quoted_breaks=True)))
+
+
 @query
 def src_json(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "orders-json")

@@ -24,6 +24,8 @@ SOURCE_COLUMNS = [
 FILE, BLOCK, ROW, FILE_NAME = "_file", "_block", "_row", "_file_name"
 FILE_ORDER = [FILE, BLOCK, ROW]
 LINEAGE = [*FILE_ORDER, FILE_NAME]
+# The first surplus field of a row, or a record that cannot be read.
+MALFORMED = "_extra"
 
 
 def _schema(**columns: T.DataType) -> T.StructType:

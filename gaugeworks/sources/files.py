@@ -12,20 +12,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeworks.functions.text import null_tokens
-from gaugeworks.operators.mapping import map_columns
-from gaugeworks.schemas import BLOCK, FILE, FILE_NAME, LINEAGE, ROW
+from gaugeworks.operators.mapping import map_columns, normalize_name
+from gaugeworks.schemas import BLOCK, FILE, FILE_NAME, LINEAGE, MALFORMED, ROW
+from gaugeworks.sources.records import scan_records
 from gaugeworks.sources.spec import SourceSpec
 
-MALFORMED = "_extra"
 _PAD = "_pad"
 # Without it a stream ignores files older than a week before the newest one.
 ANY_AGE = "36500d"
 
 
-def normalize_name(name: str) -> str:
-    return name.strip().lower().replace(" ", "_")
-
-
 def normalize_headers(df: DataFrame) -> DataFrame:
     """Strip and lower every column name and turn each space into ``_``."""
     names = [normalize_name(c) for c in df.columns]
@@ -145,6 +141,8 @@ def scan_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     is filled with NULL. CSV files may differ in their headers: those with equal ones
     are scanned together and the scans are united by target column.
     """
+    if spec.format == "csv" and spec.quoted_breaks:
+        return scan_records(spark, spec)
     groups = headers(spark, spec) if spec.format == "csv" and spec.has_header else {}
     if len({tuple(map(normalize_name, names)) for names in groups}) <= 1:
         return _named(with_file_order(_scan(spark, spark.read, spec)), spec, LINEAGE)
@@ -157,6 +155,8 @@ def scan_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
 
 def stream_source(spark: SparkSession, spec: SourceSpec, files_per_batch: int | None = None) -> DataFrame:
     """The same rows as a stream of newly arrived files, without the row number."""
+    if spec.quoted_breaks:
+        raise ValueError("a stream reads line breaks in quotes with multiline only")
     reader = spark.readStream.option("maxFileAge", ANY_AGE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

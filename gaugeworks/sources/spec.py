@@ -49,7 +49,8 @@ class SourceSpec:
 
     ``path`` may be a file, a folder or a glob. ``mapping`` is source column (after
     header normalization) to target column. ``multiline`` lets quoted fields hold
-    line breaks, at the price of files that cannot be split.
+    line breaks, at the price of files that cannot be split; ``quoted_breaks`` lets them
+    in splittable CSV files in UTF-8 with RFC 4180 quotes (:mod:`gaugeworks.sources.records`).
     """
 
     path: str
@@ -59,6 +60,7 @@ class SourceSpec:
     encoding: str = "utf-8"
     has_header: bool = True
     multiline: bool = False
+    quoted_breaks: bool = False
     mapping: Mapping[str, str] = field(default_factory=lambda: {c: c for c in SOURCE_COLUMNS})
     null_tokens: list[str] | None = None
     rules: RuleSet = field(default_factory=RuleSet)
