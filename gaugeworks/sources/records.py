@@ -104,8 +104,8 @@ def _origins(told: DataFrame) -> DataFrame:
     return settle(origins.select(*_PLACE, _CHUNK, F.coalesce("in_split", "before").alias("origin")), "origins")
 
 
-def records(lines: DataFrame) -> DataFrame:
-    """(record, file, block, file name, row) of lines with their place and number of quotes."""
+def lines_of_records(lines: DataFrame) -> DataFrame:
+    """Lines with their place and the row number of the first line of their record, its ``origin``; whether they are a record ``alone``."""
     spark = lines.sparkSession
     lines = lines.withColumn(_CHUNK, F.shiftright(ROW, CHUNK_BITS))
     with _same_splits(spark):
@@ -113,17 +113,34 @@ def records(lines: DataFrame) -> DataFrame:
         chunks = settle(lines.groupBy(*_PLACE, FILE_NAME, _CHUNK).agg(*sums), "chunks")
         with shuffle_width(spark, chunks.agg(F.sum("lines")).first()[0] or 0):
             told = settle(_told(lines, chunks), "lines")
-
+    inner = told.where(F.col("first").isNotNull()).withColumn("origin", F.col("first"))
     # Lines before the first record of a chunk belong to the last record of an earlier one.
-    parts = told.where(~F.col("alone"))
-    inner = parts.where(F.col("first").isNotNull()).withColumn("origin", F.col("first"))
-    outer = parts.where(F.col("first").isNull()).join(_origins(told), [*_PLACE, _CHUNK])
+    outer = told.where(F.col("first").isNull()).join(_origins(told), [*_PLACE, _CHUNK])
+    return inner.unionByName(outer).drop("first", _CHUNK)
+
+
+def records(lines: DataFrame) -> DataFrame:
+    """(record, file, block, file name, row) of ``lines_of_records``."""
     place = F.when(F.col(ROW) == F.col("origin"), F.struct(FILE, BLOCK, FILE_NAME))
-    pieces = inner.unionByName(outer).select("origin", place.alias("place"), F.struct(BLOCK, ROW, "line").alias("piece"))
+    pieces = lines.where(~F.col("alone")).select("origin", place.alias("place"), F.struct(BLOCK, ROW, "line").alias("piece"))
     joined = pieces.groupBy("origin").agg(F.array_sort(F.collect_list("piece")).alias("pieces"), F.first("place", ignorenulls=True).alias("place"))
     made = joined.select(F.array_join(F.col("pieces.line"), "\n").alias("record"), "place.*", F.col("origin").alias(ROW))
-    whole = told.where("alone").select(F.col("line").alias("record"), FILE, BLOCK, FILE_NAME, ROW).unionByName(made)
-    return whole.withColumn("record", F.regexp_replace("record", r"\r$", "")).where(F.trim("record") != "")
+    whole = lines.where("alone").select(F.col("line").alias("record"), FILE, BLOCK, FILE_NAME, ROW).unionByName(made)
+    return whole.withColumn("record", _bare("record")).where(F.trim("record") != "")
+
+
+def _bare(name: str) -> Column:
+    return F.regexp_replace(name, r"\r$", "")
+
+
+def _headers(lines: DataFrame) -> DataFrame:
+    """Per file its first record that is not blank, and where it is."""
+    # Only a record of one line can be blank: others have quotes. Numbers alone are compared, so that no text is sorted.
+    begins = lines.where((F.col(ROW) == F.col("origin")) & (F.trim(_bare("line")) != ""))
+    splits = begins.groupBy(*_PLACE).agg(F.min(ROW).alias(ROW))
+    tops = settle(splits.groupBy(FILE).agg(F.min(F.struct(BLOCK, ROW)).alias("top")).select(F.col(f"top.{ROW}").alias("origin")), "tops")
+    firsts = records(lines.join(tops, "origin", "left_semi"))
+    return settle(firsts.select(FILE, F.col("record").alias("header"), F.col(BLOCK).alias("top_block"), F.col(ROW).alias("top_row")), "headers")
 
 
 def _header(text: str, spec: SourceSpec) -> list[str]:
@@ -151,10 +168,10 @@ def scan_records(spark: SparkSession, spec: SourceSpec) -> DataFrame:
         F.col("_metadata.file_name").alias(FILE_NAME),
         F.monotonically_increasing_id().alias(ROW),
     )
+    lines = lines_of_records(lines)
     rows = records(lines)
     if spec.has_header:
-        firsts = rows.groupBy(FILE).agg(F.min_by(F.struct("record", BLOCK, ROW), F.struct(BLOCK, ROW)).alias("top"))
-        firsts = settle(firsts.select(FILE, F.col("top.record").alias("header"), F.col(f"top.{BLOCK}").alias("top_block"), F.col(f"top.{ROW}").alias("top_row")), "headers")
+        firsts = _headers(lines)
         layouts = {r[0]: _header(r[0], spec) for r in firsts.select("header").distinct().collect()}
         rows = rows.join(firsts, FILE).where((F.col(BLOCK) != F.col("top_block")) | (F.col(ROW) != F.col("top_row")))
     else:
