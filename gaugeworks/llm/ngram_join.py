@@ -10,22 +10,26 @@ the next band also gives signatures of that band's scheme. A set whose shingles
 into no more than D partitions also gives one common signature; two sets that the rule
 could miss both do so. Hence no link is lost.
 
-The order takes frequent shingles last, by counts over all documents, which only changes
-which signatures are used, not what is found.
+The order takes frequent shingles last, by counts over all documents in cells of the domain,
+which only changes which signatures are used, not what is found.
+
+Shuffle files of a step go when its result is written, so that disk follows the largest
+step and not their sum.
 
 1. One pass over the texts: size, name of the set, a sketch of counters over cells of the
-   domain, about one cell for eight shingles, and counts of frequent shingles. Equal sets
-   are one node from here on.
+   domain, about one cell for eight shingles, and counts of shingles by cell. Equal sets
+   are one node from here on, and one text of each is read again.
 2. Signatures, one shuffle. A run of equal signatures gives the pairs of its first member
-   with the others; one of up to ``RUN`` members also its other pairs, a longer one its
-   member list.
+   with the others, and its member list if it has three and more, so that what is kept of
+   a run grows with its length and not with its pairs.
 3. Pairs whose counters differ by more than d in sum cannot link and go; the others are
-   verified with their whole sets. First members' pairs come first; of the other pairs
-   only those between different components are looked at.
-4. Where a long run still holds several components, its members form a family: families
-   are cut into blocks and every two blocks that may hold an unseen link are compared
-   with whole sets, as a product of matrices. Such a task returns a spanning forest of
-   its links, so no pair list of a group is made.
+   verified with their whole sets. First members' pairs come first; after that, only runs
+   that still hold several components are looked at: their members' counters are compared
+   where components differ, and near pairs are verified.
+4. Where such a run is too long for one task, or lists too many near pairs, its members form
+   a family: families are cut into blocks and every two blocks that may hold an unseen link
+   are compared with whole sets, as a product of matrices. Such a task returns a spanning
+   forest of its links, so no pair list of a group is made.
 
 Defined results: null and empty texts, and texts of white space, have no shingles and
 link with nothing, also not with each other; rows that share an id are one document of
@@ -36,11 +40,13 @@ not read. Two different sets share a name with a chance of n^2 / 2^65.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,21 +54,32 @@ from pyspark.sql import functions as F
 from gaugeworks.llm.components import connected_components
 from gaugeworks.llm.shingles import WORDS, mix, set_hash, shingle_sets
 from gaugeworks.llm.tables import rows_of
-from gaugeworks.session import settle
+from gaugeworks.session import setting, settle
 
 #: Least Jaccard similarity of a link, in hundredths.
 THRESHOLD = 75
-#: Members of a run up to which all its pairs are listed; documents of a block.
+#: Members of a run that are held at a time; documents of a block.
 RUN = 32
 BLOCK = 512
+#: Members of a run, and bytes of their sketches, up to which one task compares them; near pairs for each member beyond which they are no longer listed.
+COMPARED = 2048
+SKETCHED = 16 << 20
+LISTED = 8
 LEAST_CELLS = 64
+#: Member lists that a task remembers.
+TOLD = 200_000
 #: Kinds of rows that runs give.
 FIRST, OTHER, MEMBER = 0, 1, 2
-#: Frequent shingles whose counts go to the tasks: at most 0.8 MB.
-FREQUENT = 50_000
+#: Cells of the domain in which shingles are counted, and stripes of cells that one row holds; 2 bytes a cell, 8 MB, go to the tasks.
+COUNTED = 1 << 22
+STRIPES = 256
 #: Nodes up to which the list of wanted nodes goes to all tasks: 8 bytes each.
 WANTED = 1_000_000
+#: Spark's switch for dropping the shuffle files of a write as soon as it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _SALT = np.uint64(0x9E3779B97F4A7C17)
+_STRIPE = COUNTED // STRIPES
+_CELL_BITS = np.uint64(64 - COUNTED.bit_length() + 1)
 
 
 def partner_limit(size: int, most: int | None = None, threshold: int = THRESHOLD) -> int:
@@ -85,7 +102,7 @@ def schemes(size: int, threshold: int = THRESHOLD) -> list[tuple[int, int, int]]
 
 
 def signatures(shingles: np.ndarray, names: np.ndarray, weights: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
-    """Signatures of a set; ``names`` are frequent shingles, ascending, ``weights`` their counts."""
+    """Signatures of a set; ``names`` are shingles, ascending, ``weights`` how common they are; others count as not common at all."""
     place = np.minimum(np.searchsorted(names, shingles), max(len(names) - 1, 0))
     weight = np.where(names[place] == shingles, weights[place], 0) if len(names) else np.zeros(len(shingles), np.int64)
     mixed = mix(shingles)
@@ -127,20 +144,18 @@ def sketch_distance(a: bytes, b: bytes) -> int:
 
 
 def _profiles(df: DataFrame, words: int) -> DataFrame:
-    """Rows of two kinds: (id, size, node, sketch) of a document, and (null, count, shingle, null) of a frequent shingle."""
+    """Rows of two kinds: (id, size, node, sketch) of a document, and (null, stripe, null, counts) of a task's shingles in one stripe of the cells."""
     kind = dict(df.dtypes)["id"]
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "n", "node", "sketch", "counted"]
+        counts, held, size, id_type = np.zeros(COUNTED, np.int32), [], 0, None
 
-        def counted(sets: list[np.ndarray]) -> pa.RecordBatch:
-            found, count = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64), np.empty(0, np.int64))
-            often = count >= max(4, len(sets) // 1000)
-            n = int(often.sum())
-            columns = [pa.nulls(n, id_type), pa.array(count[often], pa.int64()), pa.array(found[often].astype(np.int64)), pa.nulls(n, pa.binary()), pa.array(np.ones(n, bool))]
-            return pa.RecordBatch.from_arrays(columns, names=names)
+        def count() -> None:
+            if held:
+                np.add(counts, np.bincount(_cell(np.concatenate(held)), minlength=COUNTED), out=counts, casting="unsafe")
+                held.clear()
 
-        held, size, id_type = [], 0, None
         for batch in rows_of(batches):
             id_type = batch.column("id").type
             sets = shingle_sets(batch.column("text").to_pylist(), words)
@@ -154,29 +169,52 @@ def _profiles(df: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=names)
             held += sets
             size += sum(map(len, sets))
-            if size > 2_000_000:
-                yield counted(held)
-                held, size = [], 0
-        if held:
-            yield counted(held)
+            if size > 500_000:
+                count()
+                size = 0
+        count()
+        stripes = [k for k in range(STRIPES) if counts[k * _STRIPE : (k + 1) * _STRIPE].any()]
+        if stripes:
+            n = len(stripes)
+            blobs = [_squeeze(counts[k * _STRIPE : (k + 1) * _STRIPE]) for k in stripes]
+            columns = [pa.nulls(n, id_type), pa.array(stripes, pa.int64()), pa.nulls(n, pa.int64()), pa.array(blobs, pa.binary()), pa.array(np.ones(n, bool))]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return df.mapInArrow(profile, f"id {kind}, n long, node long, sketch binary, counted boolean")
 
 
-def _frequent(profiles: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles and their counts: bounded by ``FREQUENT``."""
-    counts = profiles.where("counted").groupBy("node").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "node").limit(FREQUENT).toPandas()
-    names = top["node"].to_numpy(np.int64).astype(np.uint64)
-    order = np.argsort(names)
-    return names[order], top["n"].to_numpy(np.int64)[order]
+def _cell(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> _CELL_BITS).astype(np.int64)
+
+
+def _squeeze(counts: np.ndarray) -> bytes:
+    return zlib.compress(np.minimum(counts, 65535).astype("<u2").tobytes(), 1)
+
+
+def _common(profiles: DataFrame) -> np.ndarray:
+    """How often the shingles of each cell occur, over all documents: bounded by ``COUNTED``."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for stripe, blob in zip(batch.column("n").to_pylist(), batch.column("sketch"), strict=True):
+                own = sums.setdefault(stripe, np.zeros(_STRIPE, np.int64))
+                own += np.frombuffer(zlib.decompress(blob.as_py()), "<u2")
+        for stripe, own in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([stripe], pa.int64()), pa.array([own.astype("<i8").tobytes()], pa.binary())], names=["n", "counts"])
+
+    out = np.zeros(COUNTED, np.int64)
+    for row in profiles.where("counted").select("n", "sketch").repartition("n").mapInArrow(add, "n long, counts binary").toLocalIterator():
+        out[row["n"] * _STRIPE : (row["n"] + 1) * _STRIPE] = np.frombuffer(row["counts"], "<i8")
+    # Two bytes each: coarser where the cells hold very much.
+    return np.minimum(out >> max(0, int(out.mean()).bit_length() - 13), 65535).astype(np.uint16)
 
 
-def _signed(df: DataFrame, words: int, frequent: Broadcast, threshold: int) -> DataFrame:
+def _signed(df: DataFrame, words: int, common: Broadcast, threshold: int) -> DataFrame:
     """(signature, node, size) of every set, once per task where a task meets it again."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, weights = frequent.value
+        counts = common.value
         seen: set[int] = set()
         for batch in rows_of(batches):
             found, nodes, sizes = [], [], []
@@ -185,7 +223,7 @@ def _signed(df: DataFrame, words: int, frequent: Broadcast, threshold: int) -> D
                     node = set_hash(s) if len(s) else None
                     if node is not None and node not in seen:
                         seen.add(node)
-                        own = signatures(s, names, weights, threshold)
+                        own = signatures(s, s, counts[_cell(s)].astype(np.int64), threshold)
                         found.append(own)
                         nodes.append(np.full(len(own), node))
                         sizes.append(np.full(len(own), len(s), np.int32))
@@ -199,12 +237,26 @@ def _signed(df: DataFrame, words: int, frequent: Broadcast, threshold: int) -> D
 def _pair_batch(kind: int, a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
     x, y = np.concatenate(a), np.concatenate(b)
     both = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
-    kinds = np.full(len(both), kind, np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(both[:, 0]), pa.array(both[:, 1])], names=["kind", "a", "b"])
+    return _kind_batch(kind, both[:, 0], both[:, 1])
+
+
+def _kind_batch(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    kinds = np.full(len(a), kind, np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(a), pa.array(b)], names=["kind", "a", "b"])
+
+
+def _list_names(nodes: np.ndarray) -> np.ndarray:
+    """A name for each row of node names."""
+    with np.errstate(over="ignore"):
+        place = np.arange(1, nodes.shape[1] + 1, dtype=np.uint64) * _SALT
+        return mix(mix(nodes.astype(np.uint64) + place).sum(axis=1, dtype=np.uint64)).astype(np.int64)
 
 
 def _runs(signed: DataFrame, threshold: int) -> DataFrame:
-    """Rows (kind, a, b) from runs of equal signatures: pairs of two kinds, and (``MEMBER``, signature, node) of long runs.
+    """Rows (kind, a, b) from runs of equal signatures: pairs of the first member, and (``MEMBER``, name, node) of runs of three and more.
+
+    Near copies share many signatures, so the same members come again and again: a run of up to ``RUN`` members is
+    named by its list, and comes once in a while of a task; a longer one is named by its signature.
 
     Rows come sorted by signature and node; a run is never held beyond ``RUN`` rows and a batch.
     """
@@ -212,14 +264,13 @@ def _runs(signed: DataFrame, threshold: int) -> DataFrame:
     def pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)]
         long_run: tuple[int, int, int] | None = None  # signature, first node and its size
+        told: set[int] = set()  # names of member lists
 
         def fits(x: np.ndarray, y: np.ndarray) -> np.ndarray:
             return 100 * np.minimum(x, y).astype(np.int64) >= threshold * np.maximum(x, y).astype(np.int64)
 
-        def members(signature: int, nodes: np.ndarray) -> pa.RecordBatch:
-            n = len(nodes)
-            columns = [pa.array(np.full(n, MEMBER, np.int32)), pa.array(np.full(n, signature)), pa.array(nodes)]
-            return pa.RecordBatch.from_arrays(columns, names=["kind", "a", "b"])
+        def members(signature: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+            return _kind_batch(MEMBER, signature, nodes)
 
         def work(sig: np.ndarray, node: np.ndarray, size: np.ndarray, final: bool) -> Iterator[pa.RecordBatch]:
             nonlocal carry, long_run
@@ -227,7 +278,7 @@ def _runs(signed: DataFrame, threshold: int) -> DataFrame:
             sig, node, size = sig[new], node[new], size[new]
             first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
             length = np.diff(np.append(first, len(sig)))
-            found: dict[int, tuple[list, list]] = {FIRST: ([], []), OTHER: ([], [])}
+            lefts, rights = [], []
             open_long = not final and length[-1] > RUN
             if not final and not open_long:  # the last run may go on
                 carry = [x[first[-1] :] for x in (sig, node, size)]
@@ -238,24 +289,28 @@ def _runs(signed: DataFrame, threshold: int) -> DataFrame:
                 at = first[length == n][:, None] + np.arange(n)
                 if long_run is not None and sig[at[0, 0]] == long_run[0]:
                     at = at[1:]
-                i, j = np.triu_indices(n, 1)
-                for kind, some in ((FIRST, i == 0), (OTHER, i > 0)):
-                    left, right = at[:, i[some]].ravel(), at[:, j[some]].ravel()
-                    ok = fits(size[left], size[right])
-                    found[kind][0].append(node[left[ok]])
-                    found[kind][1].append(node[right[ok]])
+                names, one = np.unique(_list_names(node[at]), return_index=True)
+                new = np.array([x not in told for x in names.tolist()], bool)
+                names, at = names[new], at[one[new]]
+                told.update(names.tolist())
+                ok = fits(size[at[:, :1]], size[at[:, 1:]])
+                lefts.append(np.broadcast_to(node[at[:, :1]], ok.shape)[ok])
+                rights.append(node[at[:, 1:]][ok])
+                if n > 2 and len(at):
+                    yield members(np.repeat(names, n), node[at.ravel()])
+            if len(told) > TOLD:
+                told.clear()
             for k in np.flatnonzero((length > RUN) | (sig[first] == (long_run[0] if long_run else 0)) & (long_run is not None)).tolist():
                 run = slice(first[k], first[k] + length[k])
                 if long_run is None or long_run[0] != sig[first[k]]:
                     long_run = (int(sig[first[k]]), int(node[first[k]]), int(size[first[k]]))
                 others = node[run] != long_run[1]
                 ok = others & fits(size[run], np.full(length[k], long_run[2]))
-                found[FIRST][0].append(node[run][ok])
-                found[FIRST][1].append(np.full(int(ok.sum()), long_run[1]))
-                yield members(long_run[0], node[run])
-            for kind, (lefts, rights) in found.items():
-                if lefts:
-                    yield _pair_batch(kind, lefts, rights)
+                lefts.append(node[run][ok])
+                rights.append(np.full(int(ok.sum()), long_run[1]))
+                yield members(sig[run], node[run])
+            if lefts:
+                yield _pair_batch(FIRST, lefts, rights)
 
         for batch in batches:
             columns = [np.concatenate([c, batch.column(i).to_numpy()]) for i, c in enumerate(carry)]
@@ -283,6 +338,112 @@ def _near(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").mapInArrow(keep, "a long, b long")
 
 
+def _distances(sketches: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``sketch_distance`` of many pairs (i, j) of a list."""
+    length = np.array([len(x) for x in sketches])
+    out = np.zeros(len(i), np.int64)
+    place = np.zeros(len(sketches), np.int64)
+    tables = {}
+    for n in np.unique(length).tolist():
+        at = np.flatnonzero(length == n)
+        place[at] = np.arange(len(at))
+        tables[n] = np.stack([sketches[k] for k in at.tolist()])
+    finer, coarser = np.maximum(length[i], length[j]), np.minimum(length[i], length[j])
+    for high, low in np.unique(np.stack([finer, coarser], axis=1), axis=0).tolist():
+        at = np.flatnonzero((finer == high) & (coarser == low))
+        swap = length[i[at]] == high
+        x, y = np.where(swap, i[at], j[at]), np.where(swap, j[at], i[at])
+        fine = tables[high]
+        if high > low:
+            fine = np.minimum(fine.reshape(len(fine), -1, low).sum(axis=1, dtype=np.int32), 255).astype(np.uint8)
+        step = max(1, (4 << 20) // low)
+        for k in range(0, len(at), step):
+            one, two = fine[place[x[k : k + step]]].astype(np.int16), tables[low][place[y[k : k + step]]].astype(np.int16)
+            out[at[k : k + step]] = np.abs(one - two).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _compared(held: DataFrame, threshold: int) -> DataFrame:
+    """Near pairs between different components within the runs: rows (``OTHER``, a, b).
+
+    Runs that are too long for one task, or have too many such pairs, come back as they are: rows (``MEMBER``, signature, node).
+    """
+
+    def near_pairs(node: np.ndarray, label: np.ndarray, size: np.ndarray, sketches: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray] | None:
+        found, n, listed = [], len(node), 0
+        step = max(1, (1 << 18) // n)
+        for low in range(0, n, step):
+            i, j = np.nonzero(
+                (label[low : low + step, None] != label)
+                & (100 * np.minimum(size[low : low + step, None], size) >= threshold * np.maximum(size[low : low + step, None], size))
+                & (np.arange(low, min(low + step, n))[:, None] < np.arange(n))
+            )
+            i += low
+            near = _distances(sketches, i, j) <= (size[i] + size[j]) * (100 - threshold) // (100 + threshold)
+            found.append((node[i[near]], node[j[near]]))
+            listed += int(near.sum())
+            if listed > LISTED * n:
+                return None
+        return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
+
+    def short_runs(first: np.ndarray, length: np.ndarray, node: np.ndarray, label: np.ndarray, size: np.ndarray, sketches: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        lefts, rights = [], []
+        for n in np.unique(length).tolist():
+            at = first[length == n][:, None] + np.arange(n)
+            i, j = np.triu_indices(n, 1)
+            lefts.append(at[:, i].ravel())
+            rights.append(at[:, j].ravel())
+        if lefts:
+            i, j = np.concatenate(lefts), np.concatenate(rights)
+            may = (label[i] != label[j]) & (100 * np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j]))
+            i, j = i[may], j[may]
+            near = _distances(sketches, i, j) <= (size[i] + size[j]) * (100 - threshold) // (100 + threshold)
+            if near.any():
+                yield _pair_batch(OTHER, [node[i[near]]], [node[j[near]]])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # of the run that may go on
+        beyond = None  # signature of a run that is too long
+
+        def work(table: pa.Table, final: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal beyond
+            sig, node, label, size = (table.column(c).to_numpy().astype(np.int64) for c in ("signature", "node", "label", "n"))
+            first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+            length = np.diff(np.append(first, len(sig)))
+            if beyond is not None and sig[0] == beyond:
+                yield _kind_batch(MEMBER, sig[: length[0]], node[: length[0]])
+                first, length = first[1:], length[1:]
+            done = len(first) if final else max(len(first) - 1, 0)
+            held.clear()
+            if done < len(first):
+                rest = table.slice(first[-1])
+                if len(rest) <= COMPARED and pc.sum(pc.binary_length(rest.column("sketch"))).as_py() <= SKETCHED:
+                    held.extend(rest.to_batches())
+                else:
+                    beyond = int(sig[-1])
+                    yield _kind_batch(MEMBER, sig[first[-1] :], node[first[-1] :])
+            if done:
+                sketches = [np.frombuffer(x.as_buffer(), np.uint8) for chunk in table.column("sketch").chunks for x in chunk]
+                few = length[:done] <= RUN
+                yield from short_runs(first[:done][few], length[:done][few], node, label, size, sketches)
+                for low, n in zip(first[:done][~few].tolist(), length[:done][~few].tolist(), strict=True):
+                    run = slice(low, low + n)
+                    pairs = near_pairs(node[run], label[run], size[run], sketches[run])
+                    if pairs is None:
+                        yield _kind_batch(MEMBER, sig[run], node[run])
+                    elif len(pairs[0]):
+                        yield _pair_batch(OTHER, [pairs[0]], [pairs[1]])
+
+        for batch in rows_of(batches, COMPARED):
+            if batch.num_rows:
+                yield from work(pa.Table.from_batches([*held, batch]), final=False)
+        if held:
+            yield from work(pa.Table.from_batches(held), final=True)
+
+    sorted_rows = held.repartition("signature").sortWithinPartitions("signature", "node")
+    return sorted_rows.mapInArrow(compare, "kind int, a long, b long")
+
+
 def _pack(shingles: np.ndarray) -> bytes:
     """The 40 highest bits of every shingle: two sets of a thousand shingles take one for another once in a million pairs."""
     raw = (shingles >> np.uint64(24)).astype("<u8")
@@ -295,27 +456,46 @@ def _unpack(raw: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
-def _sets(df: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
+def _owners(source: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of which one at least holds each set: those with the least id of a set.
+
+    The shorter list, of ids that are needed or of those that are not, goes to all tasks; if it is long, all rows are taken.
+    """
+    needed = nodes.select("id").distinct()
+    spare = settle(docs.where("id is not null").select("id").distinct().join(needed, "id", "left_anti"), "spare")
+    n_needed, n_spare = nodes.count(), spare.count()
+    if min(n_needed, n_spare) > WANTED:
+        return source
+    if n_needed < n_spare:
+        return source.join(F.broadcast(needed), source["id"].eqNullSafe(needed["id"]), "left_semi")
+    return source.join(F.broadcast(spare), source["id"] == spare["id"], "left_anti")
+
+
+def _sets(source: DataFrame, words: int, wanted: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, packed set) of the wanted nodes, each once.
 
-    The list of wanted nodes goes to all tasks while it is short, else it is joined by a shuffle.
+    While the list of wanted nodes is short, it goes to all tasks and so do the ids of a text of each, so that
+    only those texts are looked at; else the sets of all texts are joined by a shuffle.
     """
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in rows_of(batches):
-            nodes, packed = [], []
+            found, packed = [], []
             for s in shingle_sets(batch.column("text").to_pylist(), words):
                 node = set_hash(s) if len(s) else None
                 if node is not None and node not in seen:
                     seen.add(node)
-                    nodes.append(node)
+                    found.append(node)
                     packed.append(_pack(s))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(packed, pa.binary())], names=["node", "set"])
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(packed, pa.binary())], names=["node", "set"])
 
     wanted = settle(wanted.distinct(), "wanted")
     short = wanted.count() <= WANTED
-    found = df.mapInArrow(collect, "node long, set binary").join(F.broadcast(wanted) if short else wanted, "node", "left_semi")
+    if short:
+        ids = settle(nodes.join(F.broadcast(wanted), "node", "left_semi").select("id").distinct(), "ids")
+        source = source.join(F.broadcast(ids), source["id"].eqNullSafe(ids["id"]), "left_semi")
+    found = source.select("text").mapInArrow(collect, "node long, set binary").join(F.broadcast(wanted) if short else wanted, "node", "left_semi")
     return settle(found.groupBy("node").agg(F.first("set").alias("set")), "sets")
 
 
@@ -371,20 +551,32 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
-def _family_links(df: DataFrame, words: int, members: DataFrame, nodes: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
+def _tagged(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(signature, node, label) of members, the label being the component, or the node itself."""
+    label = F.coalesce("component", members["node"]).alias("label")
+    return settle(members.join(labels, members["node"] == labels["node"], "left").select("signature", members["node"], label), "members")
+
+
+def _mixed(tagged: DataFrame) -> DataFrame:
+    """(signature, head) of the runs that hold several components."""
+    return tagged.groupBy("signature").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("head")).where("low < high").drop("low", "high")
+
+
+def _family_links(source: DataFrame, words: int, members: DataFrame, nodes: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
     """Links within long runs that the pairs listed before have not shown."""
-    tagged = members.join(labels, members["node"] == labels["node"], "left").select("signature", members["node"], F.coalesce("component", members["node"]).alias("label"))
-    tagged = settle(tagged, "members")
-    mixed = tagged.groupBy("signature").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("head")).where("low < high")
-    held = tagged.join(mixed.select("signature", "head"), "signature")
+    tagged = _tagged(members, labels)
+    held = tagged.join(_mixed(tagged).select("signature", "head"), "signature")
     edges = settle(held.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "families")
     families = connected_components(edges).withColumnRenamed("component", "family")
     label_of = tagged.select("node", "label").distinct()
     rows = families.join(label_of, "node").join(nodes.select("node", "n"), "node")
-    # Blocks by a bounded number of rows: families are cut by component and size, so that few blocks need comparing.
-    size_of = rows.groupBy("family").agg(F.count("*").alias("members"))
-    cut = rows.join(size_of, "family").withColumn("pieces", F.ceil(F.col("members") / F.lit(BLOCK)))
-    place = F.pmod(F.xxhash64("node"), F.col("pieces"))
+    # Blocks of a bounded number of rows: large components of a family have blocks of their own, so that few blocks need comparing.
+    size_of = rows.groupBy("family", "label").agg(F.count("*").alias("members"))
+    part = F.when(F.col("members") >= BLOCK, F.col("label")).otherwise(0).alias("part")
+    parts = size_of.select("family", "label", part, "members")
+    pieces = parts.groupBy("family", "part").agg(F.ceil(F.sum("members") / F.lit(BLOCK)).alias("pieces"))
+    cut = rows.join(parts.drop("members"), ["family", "label"]).join(pieces, ["family", "part"])
+    place = F.xxhash64("part", F.pmod(F.xxhash64("node"), F.col("pieces")))
     blocks = settle(cut.select("family", "node", "label", "n", place.alias("block")), "blocks")
     about = blocks.groupBy("family", "block").agg(*(f(c).alias(f"{c}_{e}") for c in ("label", "n") for f, e in ((F.min, "low"), (F.max, "high"))))
     x, y = about.alias("x"), about.alias("y")
@@ -392,9 +584,9 @@ def _family_links(df: DataFrame, words: int, members: DataFrame, nodes: DataFram
     sizes_meet = (100 * F.col("x.n_high") >= threshold * F.col("y.n_low")) & (100 * F.col("y.n_high") >= threshold * F.col("x.n_low"))
     due = x.join(y, (F.col("x.family") == F.col("y.family")) & (F.col("x.block") <= F.col("y.block")) & ~one_component & sizes_meet)
     due = settle(due.select(F.col("x.family").alias("family"), F.col("x.block").alias("one"), F.col("y.block").alias("two")), "due")
-    sets = _sets(df, words, blocks.select("node"))
     ends = due.select("family", "one", "two", F.col("one").alias("block")).unionByName(due.select("family", "one", "two", F.col("two").alias("block")).where("one < two"))
-    dealt = ends.join(blocks, ["family", "block"]).join(sets, "node")
+    met = ends.join(blocks, ["family", "block"])
+    dealt = met.join(_sets(source, words, met.select("node"), nodes), "node")
 
     def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         sides = [frame[frame["block"] == k] for k in key[1:]]
@@ -416,32 +608,38 @@ def _family_links(df: DataFrame, words: int, members: DataFrame, nodes: DataFram
 def ngram_join(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """Per row its id, the size of its shingle set, and the smallest id reachable by links."""
     spark = df.sparkSession
-    source = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    texts = source.select("text")
+    with setting(spark, CLEANUP, "true"):
+        return _joined(df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")), words, threshold, id_column)
+
+
+def _joined(source: DataFrame, words: int, threshold: int, id_column: str) -> DataFrame:
+    spark = source.sparkSession
     profiles = settle(_profiles(source, words), "profiles")
-    frequent = spark.sparkContext.broadcast(_frequent(profiles))
+    common = spark.sparkContext.broadcast(_common(profiles))
     docs = profiles.where("not counted")
-    nodes = settle(docs.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
+    firsts = (F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("id").alias("id"))
+    nodes = settle(docs.where("node is not null").groupBy("node").agg(*firsts), "nodes")
 
-    runs = settle(_runs(_signed(texts, words, frequent, threshold), threshold), "runs")
+    runs = settle(_runs(_signed(_owners(source, docs, nodes).select("text"), words, common, threshold), threshold), "runs")
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        near = settle(_near(pairs, nodes, threshold), "near")
+    def linked(near: DataFrame) -> DataFrame:
         ends = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node")))
-        return settle(_verified(near, _sets(texts, words, ends), threshold), "links")
-
-    links = linked(runs.where(F.col("kind") == FIRST).select("a", "b").distinct())
-    labels = settle(connected_components(links), "labels")
-    others = runs.where(F.col("kind") == OTHER).select("a", "b").distinct()
-    for end in ("a", "b"):
-        named = labels.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
-        others = others.join(named, end, "left")
-    apart = F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
-    links = links.unionByName(linked(others.where(apart).select("a", "b")))
-    members = runs.where(F.col("kind") == MEMBER).select(F.col("a").alias("signature"), F.col("b").alias("node"))
+        return settle(_verified(near, _sets(source, words, ends, nodes), threshold), "links")
+
+    links = linked(settle(_near(runs.where(F.col("kind") == FIRST).select("a", "b").distinct(), nodes, threshold), "near"))
+    members = runs.where(F.col("kind") == MEMBER).select(F.col("a").alias("signature"), F.col("b").alias("node")).distinct()
     if not members.isEmpty():
         labels = settle(connected_components(links), "labels")
-        links = links.unionByName(settle(_family_links(texts, words, members, nodes, labels, threshold), "links"))
+        tagged = _tagged(members, labels)
+        held = tagged.join(_mixed(tagged).select("signature"), "signature").join(nodes.select("node", "n", "sketch"), "node")
+        compared = settle(_compared(held, threshold), "compared")
+        others = compared.where(F.col("kind") == OTHER).select("a", "b").distinct()
+        if not others.isEmpty():
+            links = links.unionByName(linked(settle(others, "near")))
+        members = compared.where(F.col("kind") == MEMBER).select(F.col("a").alias("signature"), F.col("b").alias("node"))
+        if not members.isEmpty():
+            labels = settle(connected_components(links), "labels")
+            links = links.unionByName(settle(_family_links(source, words, members, nodes, labels, threshold), "links"))
 
     # Rows with one id and different texts tie their sets together, as the id does.
     shared = docs.where("node is not null and id is not null").groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b")
