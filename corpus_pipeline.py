@@ -14,22 +14,27 @@ from gaugeworks.llm.queries import WORD_BPE, ship
 from gaugeworks.session import settle
 
 
-#: Rows that go, up to which their list goes to all tasks: 8 bytes each.
+#: Words of 64 rows of which some go, up to which their list goes to all tasks: 16 bytes each.
 SHORT = 1_000_000
 
 
 def _rows_kept(docs: DataFrame, decide) -> DataFrame:
     """The rows of ``docs`` for which ``decide`` keeps the row: it gets (row, text and evidence) and returns kept row names.
 
-    Rows are named by their place, so that repeated ids are decided one by one. The list
-    of rows that go is sent to all tasks while it is short, so that no text is shuffled;
-    a longer one is joined by a shuffle.
+    Rows are named by their place, so that repeated ids are decided one by one. The rows
+    that go are marked in words of 64 neighbours. The list of words is sent to all tasks
+    while it is short, so that no text is shuffled, even if most rows go; a longer one is
+    joined by a shuffle.
     """
     named = docs.withColumn("__row", F.monotonically_increasing_id())
     kept = settle(decide(named).select("__row"), "kept")
-    gone = settle(named.select("__row").join(kept, "__row", "left_anti"), "gone")
-    short = gone.count() <= SHORT
-    return named.join(F.broadcast(gone) if short else gone, "__row", "left_anti").select(*docs.columns)
+    gone = named.select("__row").join(kept, "__row", "left_anti")
+    bit = F.expr("shiftleft(1L, cast(__row & 63 as int))")
+    words = settle(gone.groupBy(F.shiftright("__row", 6).alias("__word")).agg(F.bit_or(bit).alias("__gone")), "gone")
+    short = words.count() <= SHORT
+    marked = named.withColumn("__word", F.shiftright("__row", 6)).join(F.broadcast(words) if short else words, "__word", "left")
+    here = F.expr("getbit(__gone, cast(__row & 63 as int))")
+    return marked.where(F.col("__gone").isNull() | (here == 0)).select(*docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from gaugeworks.llm import ngram_join as nj
 from gaugeworks.llm.shingles import shingle_sets
 from tests.llm.test_ngram_join import _components, _near_copies
@@ -86,3 +87,12 @@ def test_shuffle_files_go_with_their_step(spark, odd):
     while len(files() - before) > 30 and time.time() < until:
         time.sleep(0.5)
     assert len(files() - before) <= 30
+
+
+def test_most_rows_may_go_without_a_shuffle_of_texts(spark, odd, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "SHORT", 40)
+    docs = spark.range(0, 1000, 1, 3).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    kept = corpus_pipeline._rows_kept(docs, lambda rows: rows.where("doc_id % 100 = 63 or doc_id < 2"))
+    assert "hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, *range(63, 1000, 100)]
+    assert kept.columns == docs.columns
